@@ -39,7 +39,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills REGISTRY.
-    from . import queries_analytics, queries_core  # noqa: F401
+    from . import queries_analytics, queries_core, queries_ops, queries_quality  # noqa: F401
 
 
 __all__ = ["register", "queries", "oracle_sql", "O"]
