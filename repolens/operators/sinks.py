@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import CLUSTER_KEYS, PARTITION_COLUMN, RAW_SCHEMAS
 
@@ -63,7 +64,7 @@ def ensure_tables(spark: SparkSession, root: str) -> list[str]:
 def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     """SRC-07: scan a raw table with its declared schema plus the day column
     (partition pruning on ``ingestion_date``)."""
-    schema = RAW_SCHEMAS[table].add(PARTITION_COLUMN, "date")
+    schema = T.StructType(list(RAW_SCHEMAS[table].fields) + [T.StructField(PARTITION_COLUMN, T.DateType())])
     return spark.read.schema(schema).parquet(table_path(root, "raw", table))
 
 

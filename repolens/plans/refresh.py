@@ -67,6 +67,7 @@ def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
         return RUN.result_rows(spark, [("infrastructure", None, 0, 0, False, str(e)[:1000], 0)])
 
     prs_in_scope: DataFrame | None = None
+    repo_list: DataFrame | None = None
     pr_failed = False
     for entity in ORDER:
         table = ENTITIES[entity]
@@ -90,9 +91,19 @@ def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
             sinks.append_raw(ok, root, table)
             by = "full_name" if entity == "repositories" else "repo_full_name"
             m = ING.load_metrics(staged.withColumnRenamed(by, "repo_full_name"), table, by=["repo_full_name"])
+            if repo_list is not None and entity != "repositories":
+                # one result per repository of this run, zeros where nothing was loaded
+                m = m.join(repo_list, "repo_full_name", "full").na.fill(0, ["total_rows"])
+            if m.isEmpty():
+                m = spark.createDataFrame([(None, 0)], "repo_full_name string, total_rows bigint")
             dur = int((time.monotonic() - t0) * 1000)
             # one result row per repository, written to the run log table (not collected)
             RUN.results_from_metrics(m, entity, True, None, dur).write.mode("append").parquet(log_path)
+            if entity == "repositories":
+                repo_list = (sinks.read_raw(spark, root, table)
+                             .filter((F.col("ingestion_date") == F.to_date(instant))
+                                     & (F.col("ingestion_timestamp") == instant))
+                             .select(F.col("full_name").alias("repo_full_name")).distinct())
             if entity == "pull_requests":
                 # the PRs that passed the filter in this run (read back from the raw table)
                 prs_in_scope = (sinks.read_raw(spark, root, table)
