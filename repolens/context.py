@@ -1,19 +1,35 @@
-"""A lazily built warehouse over the driver's tables.
-
-``Warehouse(spark, sf_dir)`` exposes the raw, staging and mart relations
-as attributes.  Nothing runs until an action: each attribute is a
-DataFrame plan, built once per context so the same plan object (and its
-exchange reuse) is shared by queries that combine several relations.
+"""The warehouse over the driver's tables, materialised layer by layer.
+
+``Warehouse(spark, sf_dir)`` exposes raw, staging and mart relations.
+
+* ``w.build(name)`` computes one relation from the layer below it (raw
+  from the driver's tables, staging from raw, mart from staging and
+  dimensions) -- the plan a refresh job runs for that model.
+* ``w.<name>`` / ``w.table(name)`` is the *written* table.  On first use
+  every layer is built in order and written as parquet under the shared
+  folder named by ``spark.checkpoint.dir``, keyed by the input files and
+  this package's code.  Readers then start from written tables, so
+  lineage is cut at every layer: a lost executor recomputes at most one
+  layer, and dashboards read the mart as they would in production
+  instead of re-deriving it.
+
+``materialize=False`` keeps everything lazy (one plan from the parquet
+inputs to the result).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from functools import cached_property
+import hashlib
+import os
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators import sinks
 from .plans import mart, staging
+from .session import checkpoint_root
 from .sources import fixtures
 from .sources.tables import TableSet
 
@@ -22,75 +38,116 @@ from .sources.tables import TableSet
 DIM_START = _dt.date(2020, 1, 1)
 DIM_END = _dt.date(2027, 12, 31)
 
+RAW = ("raw_repositories", "raw_commits", "raw_pull_requests", "raw_reviews", "raw_languages")
+STAGING = ("stg_repositories", "stg_commits", "stg_pull_requests", "stg_reviews", "stg_languages")
+MART = ("dim_date", "dim_repository", "fct_commits", "fct_pull_requests", "fct_reviews")
+LAYERS = RAW + STAGING + MART            # build order
+INPUTS = ("customer", "orders", "lineitem", "events", "part")
 
-class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, dim_end=DIM_END):
-        self.spark = spark
-        self.tables = TableSet(spark, sf_dir)
-        self.dim_end = dim_end
-
-    # raw layer
-    @cached_property
-    def raw_commits(self) -> DataFrame:
-        return fixtures.raw_commits(self.tables)
-
-    @cached_property
-    def raw_pull_requests(self) -> DataFrame:
-        return fixtures.raw_pull_requests(self.tables)
-
-    @cached_property
-    def raw_reviews(self) -> DataFrame:
-        return fixtures.raw_reviews(self.tables)
-
-    @cached_property
-    def raw_repositories(self) -> DataFrame:
-        return fixtures.raw_repositories(self.tables)
+_PKG = os.path.dirname(os.path.abspath(__file__))
+_CODE = ("sources/fixtures.py", "plans/staging.py", "plans/mart.py", "operators/dedup.py",
+         "functions/scalar.py", "sources/calendar.py", "context.py")
+_lock = threading.Lock()
 
-    @cached_property
-    def raw_languages(self) -> DataFrame:
-        return fixtures.raw_languages(self.tables)
 
-    def raw(self, name: str) -> DataFrame:
-        return getattr(self, name)
-
-    # staging layer
-    @cached_property
-    def stg_commits(self) -> DataFrame:
-        return staging.stg_commits(self.raw_commits)
-
-    @cached_property
-    def stg_pull_requests(self) -> DataFrame:
-        return staging.stg_pull_requests(self.raw_pull_requests)
+def _fingerprint(spark: SparkSession, sf_dir: str, dim_end) -> str:
+    h = hashlib.sha256()
+    h.update(f"{os.path.abspath(sf_dir) if '://' not in sf_dir else sf_dir}|{dim_end}".encode())
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for t in INPUTS:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = p.getFileSystem(conf)
+        for st in fs.listStatus(p):
+            h.update(f"{t}:{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+    for rel in _CODE:
+        with open(os.path.join(_PKG, rel), "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:20]
 
-    @cached_property
-    def stg_reviews(self) -> DataFrame:
-        return staging.stg_reviews(self.raw_reviews)
 
-    @cached_property
-    def stg_repositories(self) -> DataFrame:
-        return staging.stg_repositories(self.raw_repositories)
+WAREHOUSE_DIR_CONF = "spark.repolens.warehouseDir"
 
-    @cached_property
-    def stg_languages(self) -> DataFrame:
-        return staging.stg_languages(self.raw_languages)
 
-    # mart layer
-    @cached_property
-    def dim_date(self) -> DataFrame:
-        return mart.dim_date(self.spark, DIM_START, self.dim_end)
+def _base_dir(spark: SparkSession) -> str:
+    """``spark.repolens.warehouseDir`` when set, else a folder inside the
+    shared ``spark.checkpoint.dir`` (not the per-context sub-folder Spark
+    adds), so written layers are reused across sessions."""
+    own = spark.conf.get(WAREHOUSE_DIR_CONF, None)
+    if own:
+        return own.rstrip("/")
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return f"{(conf or checkpoint_root(spark)).rstrip('/')}/repolens-warehouse"
 
-    @cached_property
-    def dim_repository(self) -> DataFrame:
-        return mart.dim_repository(self.stg_repositories)
 
-    @cached_property
-    def fct_commits(self) -> DataFrame:
-        return mart.fct_commits(self.stg_commits, self.dim_repository, self.dim_date)
-
-    @cached_property
-    def fct_pull_requests(self) -> DataFrame:
-        return mart.fct_pull_requests(self.stg_pull_requests, self.dim_repository, self.dim_date)
+class Warehouse:
+    def __init__(self, spark: SparkSession, sf_dir: str, dim_end=DIM_END, materialize: bool = True):
+        self.spark = spark
+        self.tables = TableSet(spark, sf_dir)
+        self.sf_dir = sf_dir
+        self.dim_end = dim_end
+        self.materialize = materialize
+        self._lazy: dict[str, DataFrame] = {}
+        self._root: str | None = None
+
+    # ------------------------------------------------------------ builders
+    def build(self, name: str) -> DataFrame:
+        """Compute ``name`` from the layer below (written tables when materialising)."""
+        t = self.table
+        if name in RAW:
+            return fixtures.RAW_BUILDERS[name](self.tables)
+        if name == "stg_languages":
+            return staging.stg_languages(t("raw_languages"))
+        if name in STAGING:
+            return staging.STAGING[name][1](t(staging.STAGING[name][0]))
+        if name == "dim_date":
+            return mart.dim_date(self.spark, DIM_START, self.dim_end)
+        if name == "dim_repository":
+            return mart.dim_repository(t("stg_repositories"))
+        if name == "fct_commits":
+            return mart.fct_commits(t("stg_commits"), t("dim_repository"), t("dim_date"))
+        if name == "fct_pull_requests":
+            return mart.fct_pull_requests(t("stg_pull_requests"), t("dim_repository"), t("dim_date"))
+        if name == "fct_reviews":
+            return mart.fct_reviews(t("stg_reviews"), t("dim_repository"), t("dim_date"), t("fct_pull_requests"))
+        raise KeyError(name)
+
+    # ------------------------------------------------------------ written tables
+    def table(self, name: str) -> DataFrame:
+        if not self.materialize:
+            if name not in self._lazy:
+                self._lazy[name] = self.build(name)
+            return self._lazy[name]
+        root = self.ensure_materialized()
+        return self.spark.read.parquet(f"{root}/{name}")
 
-    @cached_property
-    def fct_reviews(self) -> DataFrame:
-        return mart.fct_reviews(self.stg_reviews, self.dim_repository, self.dim_date, self.fct_pull_requests)
+    def raw(self, name: str) -> DataFrame:
+        return self.table(name)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in LAYERS:
+            return self.table(name)
+        raise AttributeError(name)
+
+    def ensure_materialized(self) -> str:
+        """Write every layer once (in build order) and return the folder."""
+        if self._root is not None:
+            return self._root
+        with _lock:
+            base = _base_dir(self.spark)
+            root = f"{base}/{_fingerprint(self.spark, self.sf_dir, self.dim_end)}"
+            if not sinks.exists(self.spark, f"{root}/_COMPLETE"):
+                tmp = f"{base}/_building-{uuid.uuid4().hex}"
+                self._root = tmp          # builders of later layers read earlier ones from here
+                try:
+                    for name in LAYERS:
+                        self.build(name).write.mode("overwrite").parquet(f"{tmp}/{name}")
+                    fs, src = sinks._fs(self.spark, tmp)
+                    dst = sinks._fs(self.spark, root)[1]
+                    if not fs.exists(dst) and not fs.rename(src, dst):
+                        raise OSError(f"could not publish {tmp} as {root}")
+                    fs.create(sinks._fs(self.spark, f"{root}/_COMPLETE")[1], True).close()
+                finally:
+                    self._root = None
+            self._root = root
+        return root

@@ -8,7 +8,7 @@ from .plans import dashboards
 # --- staging models (STG-01..05) and mart models (MRT-01..05) -----------------
 for _name in ("stg_commits", "stg_pull_requests", "stg_reviews", "stg_repositories", "stg_languages",
               "dim_repository", "fct_commits", "fct_pull_requests", "fct_reviews"):
-    register(_name, O.select_all(_name))(lambda w, _n=_name: getattr(w, _n))
+    register(_name, O.select_all(_name))(lambda w, _n=_name: w.build(_n))
 
 
 @register("dsh_merge_rate", O.sql("""

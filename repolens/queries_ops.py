@@ -27,7 +27,7 @@ RUNS_AS_OF = "2024-02-02"
 
 # ------------------------------------------------------------------ raw scans (SRC-07)
 for _t in ("raw_commits", "raw_pull_requests", "raw_reviews", "raw_repositories", "raw_languages"):
-    register(_t, O.select_all(_t))(lambda w, _n=_t: w.raw(_n))
+    register(_t, O.select_all(_t))(lambda w, _n=_t: w.build(_n))
 
 
 # ------------------------------------------------------------------ MRT-01 on used dates
