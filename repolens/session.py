@@ -28,6 +28,22 @@ DEFAULT_CONF = {
 }
 
 
+# Settings intended for large cluster runs (100 TB class).  Shuffle
+# partitions start high and AQE coalesces them toward the advisory size;
+# skewed partitions above factor x median and 256 MB are split.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "repolens", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.

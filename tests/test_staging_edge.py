@@ -114,3 +114,11 @@ def test_dim_date_attributes(spark):
     assert (r.date_key, r.day_of_week, r.day_name, r.iso_week_number, r.month_name, r.quarter, r.is_weekend) == \
         (20241230, 2, "Monday", 1, "December", 4, False)
     assert d[dt.date(2024, 12, 28)].is_weekend
+
+
+def test_register_staging_views(spark):
+    raw = {t: spark.createDataFrame([], RAW_SCHEMAS[t]) for t in RAW_SCHEMAS}
+    out = staging.register_staging(raw)
+    assert set(out) == {"stg_commits", "stg_pull_requests", "stg_reviews", "stg_repositories", "stg_languages"}
+    assert spark.sql("SELECT count(*) AS n FROM stg_commits").collect()[0].n == 0
+    assert "pr_id" in spark.table("stg_pull_requests").columns
