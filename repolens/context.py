@@ -24,6 +24,7 @@ import hashlib
 import os
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,12 +43,17 @@ RAW = ("raw_repositories", "raw_commits", "raw_pull_requests", "raw_reviews", "r
 STAGING = ("stg_repositories", "stg_commits", "stg_pull_requests", "stg_reviews", "stg_languages")
 MART = ("dim_date", "dim_repository", "fct_commits", "fct_pull_requests", "fct_reviews")
 LAYERS = RAW + STAGING + MART            # build order
+# Dependency waves: tables inside a wave are independent and are written
+# by concurrent Spark jobs.
+WAVES = (RAW + ("dim_date",), STAGING, ("dim_repository",), ("fct_commits", "fct_pull_requests"),
+         ("fct_reviews",))
 INPUTS = ("customer", "orders", "lineitem", "events", "part")
 
 _PKG = os.path.dirname(os.path.abspath(__file__))
 _CODE = ("sources/fixtures.py", "plans/staging.py", "plans/mart.py", "operators/dedup.py",
          "functions/scalar.py", "sources/calendar.py", "context.py")
 _lock = threading.Lock()
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, dim_end) -> str:
@@ -119,7 +125,13 @@ class Warehouse:
                 self._lazy[name] = self.build(name)
             return self._lazy[name]
         root = self.ensure_materialized()
-        return self.spark.read.parquet(f"{root}/{name}")
+        key = (id(self.spark), f"{root}/{name}")
+        df = _READ_CACHE.get(key)
+        if df is None:
+            # written folders are immutable (named by content), so one scan
+            # object per folder is shared by all queries of the session
+            df = _READ_CACHE[key] = self.spark.read.parquet(f"{root}/{name}")
+        return df
 
     def raw(self, name: str) -> DataFrame:
         return self.table(name)
@@ -129,6 +141,9 @@ class Warehouse:
             return self.table(name)
         raise AttributeError(name)
 
+    def _write(self, name: str, path: str) -> None:
+        self.build(name).write.mode("overwrite").parquet(path)
+
     def ensure_materialized(self) -> str:
         """Write every layer once (in build order) and return the folder."""
         if self._root is not None:
@@ -140,8 +155,11 @@ class Warehouse:
                 tmp = f"{base}/_building-{uuid.uuid4().hex}"
                 self._root = tmp          # builders of later layers read earlier ones from here
                 try:
-                    for name in LAYERS:
-                        self.build(name).write.mode("overwrite").parquet(f"{tmp}/{name}")
+                    with ThreadPoolExecutor(max_workers=6) as pool:
+                        for wave in WAVES:
+                            jobs = [pool.submit(self._write, name, f"{tmp}/{name}") for name in wave]
+                            for j in jobs:
+                                j.result()
                     fs, src = sinks._fs(self.spark, tmp)
                     dst = sinks._fs(self.spark, root)[1]
                     if not fs.exists(dst) and not fs.rename(src, dst):

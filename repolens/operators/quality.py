@@ -124,62 +124,111 @@ class Check:
 
 
 _ROW_LEVEL = ("not_null", "accepted_values", "range")
+_AGE_LEVEL = ("freshness", "recency")
 
 
-def _row_failure(ch: Check) -> Column:
-    c = F.col(ch.column)
+_OUT = "check_name string, kind string, model string, column_name string, failures bigint, status string"
+_COLS = [c.split()[0] for c in _OUT.split(", ")]
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def _sql_failure(ch: Check) -> str:
+    c = _q(ch.column)
     if ch.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if ch.kind == "accepted_values":
-        return c.isNotNull() & ~c.isin(list(ch.values))
-    return _out_of_range(c, ch.lo, ch.hi)
+        return f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(_sql_lit(v) for v in ch.values)})"
+    ors = ([f"{c} < {_sql_lit(ch.lo)}"] if ch.lo is not None else []) + \
+          ([f"{c} > {_sql_lit(ch.hi)}"] if ch.hi is not None else [])
+    return f"{c} IS NOT NULL AND ({' OR '.join(ors) or 'false'})"
 
 
-_OUT = "check_name string, kind string, model string, column_name string, failures bigint, status string"
+def _sql_age_status(ch: Check, mx: str, now) -> str:
+    if isinstance(now, _dt.datetime):
+        now = now.strftime("%Y-%m-%d %H:%M:%S.%f")
+    age = f"timestampdiff(SECOND, {mx}, CAST({_sql_lit(str(now))} AS TIMESTAMP_NTZ))"
+    if ch.kind == "freshness":
+        return (f"CASE WHEN {mx} IS NULL OR {age} > {ch.error_hours * 3600} THEN 'error' "
+                f"WHEN {age} > {ch.warn_hours * 3600} THEN 'warn' ELSE 'pass' END")
+    return f"CASE WHEN {mx} IS NOT NULL AND {age} <= {ch.error_hours * 3600} THEN 'pass' ELSE 'fail' END"
+
+
+def _sql_row(ch: Check, failures: str, status: str | None = None) -> str:
+    status = status or f"CASE WHEN {failures} = 0 THEN 'pass' ELSE 'fail' END"
+    return (f"named_struct('check_name', {_sql_lit(ch.name)}, 'kind', {_sql_lit(ch.kind)}, "
+            f"'model', {_sql_lit(ch.model)}, 'column_name', {_sql_lit(ch.column)}, "
+            f"'failures', CAST({failures} AS BIGINT), 'status', {status})")
+
+
+def _model_scalars(df: DataFrame, checks: list[Check], now) -> DataFrame:
+    """All row-level and age checks of one model in one aggregation (one
+    scan), unpivoted to one row per check.  Checks are generated as SQL
+    expressions, one JVM call each."""
+    aggs = [(f"count_if({_sql_failure(ch)})" if ch.kind in _ROW_LEVEL else f"max({_q(ch.column)})") + f" AS c{i}"
+            for i, ch in enumerate(checks)]
+    rows = []
+    for i, ch in enumerate(checks):
+        if ch.kind in _ROW_LEVEL:
+            rows.append(_sql_row(ch, f"c{i}"))
+        else:
+            st = _sql_age_status(ch, f"c{i}", now)
+            rows.append(_sql_row(ch, f"CASE WHEN {st} = 'pass' THEN 0 ELSE 1 END", st))
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _model_unique(spark: SparkSession, df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All unique checks of one model with one shuffle: (check, value)
+    pairs are counted together (values compared as text), then the number
+    of repeated values is counted per check; checks without repeats get 0."""
+    pairs = df.selectExpr("inline(array(" + ", ".join(
+        f"named_struct('i', {i}, 'v', CAST({_q(ch.column)} AS STRING))" for i, ch in enumerate(checks)) + "))")
+    dup = (pairs.filter("v IS NOT NULL").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+           .groupBy("i").agg(F.count(F.lit(1)).alias("failures")))
+    ids = spark.range(len(checks)).selectExpr("CAST(id AS INT) AS i")
+    j = F.broadcast(ids).join(dup, "i", "left")        # one row per check of this model
+    rows = ", ".join(_sql_row(ch, "coalesce(failures, 0)") for ch in checks)
+    return j.selectExpr(f"element_at(array({rows}), i + 1) AS r").select("r.*")
+
+
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    """Balanced union (keeps analysis linear in the number of parts)."""
+    while len(parts) > 1:
+        parts = [parts[k].unionByName(parts[k + 1]) if k + 1 < len(parts) else parts[k]
+                 for k in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def run_checks(spark: SparkSession, models: dict[str, DataFrame], suite: list[Check], now=None) -> DataFrame:
     """DQ-08: evaluate a suite to one table (check_name, kind, model,
-    column_name, failures, status).  Nothing is collected: the result is
-    one union plan, computed by a single action."""
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
+    column_name, failures, status).  Per model: one aggregation for all
+    row-level and age checks, one grouped count for all unique checks;
+    each relationships check is an anti join.  Nothing is collected: the
+    result is one plan computed by a single action."""
+    scalar: dict[str, list[Check]] = {}
+    unique: dict[str, list[Check]] = {}
     for ch in suite:
-        if ch.kind in _ROW_LEVEL:
-            by_model.setdefault(ch.model, []).append(ch)
-    for model, checks in by_model.items():
-        agg = models[model].agg(*[F.count_if(_row_failure(ch)).alias(f"c{i}") for i, ch in enumerate(checks)])
-        # unpivot the one-row result into one row per check
-        rows = F.explode(F.array(*[
-            F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.kind).alias("kind"),
-                     F.lit(ch.model).alias("model"), F.lit(ch.column).alias("column_name"),
-                     F.col(f"c{i}").cast("bigint").alias("failures"))
-            for i, ch in enumerate(checks)]))
-        parts.append(agg.select(rows.alias("r")).select("r.*"))
+        if ch.kind in _ROW_LEVEL or ch.kind in _AGE_LEVEL:
+            scalar.setdefault(ch.model, []).append(ch)
+        elif ch.kind == "unique":
+            unique.setdefault(ch.model, []).append(ch)
+    parts = [_model_scalars(models[m], cs, now) for m, cs in scalar.items()]
+    parts += [_model_unique(spark, models[m], cs) for m, cs in unique.items()]
     for ch in suite:
-        meta = [F.lit(ch.name).alias("check_name"), F.lit(ch.kind).alias("kind"),
-                F.lit(ch.model).alias("model"), F.lit(ch.column).alias("column_name")]
-        if ch.kind == "unique":
-            f = check_unique(models[ch.model], ch.column).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(f.select(*meta, "failures"))
-        elif ch.kind == "relationships":
-            f = check_fk(models[ch.model], ch.column, models[ch.to], ch.field).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(f.select(*meta, "failures"))
-        elif ch.kind == "freshness":
-            f = freshness(models[ch.model], ch.column, now, ch.warn_hours, ch.error_hours)
-            parts.append(f.select(*meta, F.when(F.col("status") == "pass", 0).otherwise(1).cast("bigint")
-                                  .alias("failures"), "status"))
-            continue
-        elif ch.kind == "recency":
-            f = check_recency(models[ch.model], ch.column, now, ch.error_hours)
-            parts.append(f.select(*meta, F.when(F.col("status") == "pass", 0).otherwise(1).cast("bigint")
-                                  .alias("failures"), "status"))
-            continue
-    parts = [p if "status" in p.columns else
-             p.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail")) for p in parts]
+        if ch.kind == "relationships":
+            f = check_fk(models[ch.model], ch.column, models[ch.to], ch.field).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(f.selectExpr(f"inline(array({_sql_row(ch, 'n')}))"))
     if not parts:
         return spark.createDataFrame([], _OUT)
-    return reduce(DataFrame.unionByName, [p.select(*[c.split()[0] for c in _OUT.split(", ")]) for p in parts])
+    return _union_all([p.select(*_COLS) for p in parts])
 
 
 # The reference's declared model tests (82) and source freshness rules (5).

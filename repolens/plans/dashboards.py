@@ -122,7 +122,7 @@ def top_repositories_per_language(stg_languages: DataFrame, n: int = TOP_REPOS)
     shuffle, so a language with a third of all rows is cut map-side."""
     w = Window.partitionBy("language_name").orderBy(F.col("byte_count").desc(), F.col("repo_full_name").asc())
     r = stg_languages.select("language_name", "repo_full_name", "byte_count") \
-        .withColumn("rank", F.row_number().over(w))
+        .withColumn("rank", F.row_number().over(w).cast("bigint"))
     return r.filter(F.col("rank") <= n)
 
 
