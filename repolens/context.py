@@ -29,7 +29,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import sinks
-from .plans import mart, staging
+from .plans import analytics, mart, staging
 from .session import checkpoint_root
 from .sources import fixtures
 from .sources.tables import TableSet
@@ -42,15 +42,18 @@ DIM_END = _dt.date(2027, 12, 31)
 RAW = ("raw_repositories", "raw_commits", "raw_pull_requests", "raw_reviews", "raw_languages")
 STAGING = ("stg_repositories", "stg_commits", "stg_pull_requests", "stg_reviews", "stg_languages")
 MART = ("dim_date", "dim_repository", "fct_commits", "fct_pull_requests", "fct_reviews")
-LAYERS = RAW + STAGING + MART            # build order
+# Aggregate tables the reference specifies as tables (built from the mart).
+AGGREGATES = ("agg_daily_activity", "agg_weekly_activity", "agg_monthly_activity", "agg_language_usage",
+              "agg_hourly_heatmap")
+LAYERS = RAW + STAGING + MART + AGGREGATES   # build order
 # Dependency waves: tables inside a wave are independent and are written
 # by concurrent Spark jobs.
 WAVES = (RAW + ("dim_date",), STAGING, ("dim_repository",), ("fct_commits", "fct_pull_requests"),
-         ("fct_reviews",))
+         ("fct_reviews",) + AGGREGATES)
 INPUTS = ("customer", "orders", "lineitem", "events", "part")
 
 _PKG = os.path.dirname(os.path.abspath(__file__))
-_CODE = ("sources/fixtures.py", "plans/staging.py", "plans/mart.py", "operators/dedup.py",
+_CODE = ("sources/fixtures.py", "plans/staging.py", "plans/mart.py", "plans/analytics.py", "operators/dedup.py",
          "functions/scalar.py", "sources/calendar.py", "context.py")
 _lock = threading.Lock()
 _READ_CACHE: dict[tuple[int, str], DataFrame] = {}
@@ -116,6 +119,16 @@ class Warehouse:
             return mart.fct_pull_requests(t("stg_pull_requests"), t("dim_repository"), t("dim_date"))
         if name == "fct_reviews":
             return mart.fct_reviews(t("stg_reviews"), t("dim_repository"), t("dim_date"), t("fct_pull_requests"))
+        if name == "agg_daily_activity":
+            return analytics.daily_activity(t("fct_commits"), t("fct_pull_requests"))
+        if name == "agg_weekly_activity":
+            return analytics.weekly_activity(t("fct_commits"), t("fct_pull_requests"))
+        if name == "agg_monthly_activity":
+            return analytics.monthly_activity(t("fct_commits"), t("fct_pull_requests"))
+        if name == "agg_language_usage":
+            return analytics.language_usage(t("raw_languages"), t("fct_commits"), t("dim_repository"))
+        if name == "agg_hourly_heatmap":
+            return analytics.hourly_heatmap(self.spark, t("fct_commits"))
         raise KeyError(name)
 
     # ------------------------------------------------------------ written tables

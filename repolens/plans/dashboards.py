@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import month_start, week_start, whole_hours
-from .analytics import language_bytes_by_month
 
 
 def merge_rate(fct_prs: DataFrame, dim_repo: DataFrame) -> DataFrame:
@@ -34,11 +33,11 @@ def _commit_days(fct_commits: DataFrame) -> DataFrame:
             .groupBy("d").agg(F.count(F.lit(1)).alias("commits")))
 
 
-def commit_trend(fct_commits: DataFrame) -> DataFrame:
-    """DSH-01: commits per day, ISO week and month (``grain`` column).
-    Weeks and months are summed from the per-day counts, so the fact is
-    scanned and shuffled once."""
-    day = _commit_days(fct_commits)
+def commit_trend(daily_activity: DataFrame) -> DataFrame:
+    """DSH-01: commits per day, ISO week and month (``grain`` column), read
+    from the AGG-01 table (one row per day); weeks and months are sums of
+    the day counts."""
+    day = daily_activity.filter(F.col("commits") > 0).select(F.col("activity_date").alias("d"), "commits")
     d = day.select(F.lit("day").alias("grain"), F.col("d").alias("period_start"), "commits")
     wk = day.groupBy(week_start("d").alias("period_start")).agg(F.sum("commits").alias("commits")) \
         .select(F.lit("week").alias("grain"), "period_start", "commits")
@@ -105,9 +104,10 @@ def language_share(stg_languages: DataFrame) -> DataFrame:
     return g.withColumn("share", F.col("bytes").cast("double") / total.cast("double"))
 
 
-def language_trend(raw_languages: DataFrame) -> DataFrame:
-    """DSH-06: monthly bytes per language (AGG-04 bytes) and share of the month."""
-    b = language_bytes_by_month(raw_languages)
+def language_trend(language_usage: DataFrame) -> DataFrame:
+    """DSH-06: monthly bytes per language and share of the month, read from
+    the AGG-04 table (rows with language snapshots, i.e. ``repo_count > 0``)."""
+    b = language_usage.filter(F.col("repo_count") > 0).select("month_start", "language_name", "bytes")
     tot = F.sum("bytes").over(Window.partitionBy("month_start"))
     return b.select("month_start", "language_name", "bytes",
                     (F.col("bytes").cast("double") / tot.cast("double")).alias("share_of_month"))

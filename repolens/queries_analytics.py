@@ -24,7 +24,7 @@ _ACT = """CAST(sum(is_commit) AS BIGINT) AS commits, CAST(sum(is_pr) AS BIGINT)
 @register("agg_daily_activity", O.sql(f"""
 SELECT activity_date, {_ACT} FROM activity WHERE activity_date IS NOT NULL GROUP BY activity_date""", "activity"))
 def agg_daily_activity(w):
-    return A.daily_activity(w.fct_commits, w.fct_pull_requests)
+    return w.build("agg_daily_activity")
 
 
 @register("agg_weekly_activity", O.sql(f"""
@@ -32,14 +32,14 @@ SELECT *, commits - lag(commits) OVER (ORDER BY week_start) AS commits_change FR
   SELECT CAST(date_trunc('week', activity_date) AS DATE) AS week_start, {_ACT}
   FROM activity WHERE activity_date IS NOT NULL GROUP BY 1)""", "activity"))
 def agg_weekly_activity(w):
-    return A.weekly_activity(w.fct_commits, w.fct_pull_requests)
+    return w.build("agg_weekly_activity")
 
 
 @register("agg_monthly_activity", O.sql(f"""
 SELECT CAST(date_trunc('month', activity_date) AS DATE) AS month_start, {_ACT}
 FROM activity WHERE activity_date IS NOT NULL GROUP BY 1""", "activity"))
 def agg_monthly_activity(w):
-    return A.monthly_activity(w.fct_commits, w.fct_pull_requests)
+    return w.build("agg_monthly_activity")
 
 
 O.cte("language_bytes_by_month", """
@@ -65,7 +65,7 @@ FULL OUTER JOIN (
   GROUP BY 1, 2) c USING (month_start, language_name)""",
         "language_bytes_by_month", "fct_commits", "dim_repository"))
 def agg_language_usage(w):
-    return A.language_usage(w.raw_languages, w.fct_commits, w.dim_repository)
+    return w.build("agg_language_usage")
 
 
 _HEATMAP_SQL = O.sql("""
@@ -77,7 +77,7 @@ LEFT JOIN (SELECT day_of_week, hour_of_day, count(*) AS commits FROM fct_commits
 
 @register("agg_hourly_heatmap", _HEATMAP_SQL)
 def agg_hourly_heatmap(w):
-    return A.hourly_heatmap(w.spark, w.fct_commits)
+    return w.build("agg_hourly_heatmap")
 
 
 @register("agg_dim_language", O.sql("""
@@ -126,7 +126,7 @@ UNION ALL
 SELECT 'month', CAST(date_trunc('month', d) AS DATE), CAST(sum(commits) AS BIGINT) FROM commit_days GROUP BY 2""",
         "commit_days"))
 def dsh_commit_trend(w):
-    return D.commit_trend(w.fct_commits)
+    return D.commit_trend(w.agg_daily_activity)
 
 
 @register("dsh_streaks", O.sql(f"""
@@ -179,7 +179,7 @@ SELECT month_start, language_name, bytes,
        CAST(bytes AS DOUBLE) / CAST(sum(bytes) OVER (PARTITION BY month_start) AS DOUBLE) AS share_of_month
 FROM language_bytes_by_month""", "language_bytes_by_month"))
 def dsh_language_trend(w):
-    return D.language_trend(w.raw_languages)
+    return D.language_trend(w.agg_language_usage)
 
 
 @register("dsh_top_repos_per_language", O.sql(f"""
