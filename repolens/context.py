@@ -178,6 +178,9 @@ class Warehouse:
                     if not fs.exists(dst) and not fs.rename(src, dst):
                         raise OSError(f"could not publish {tmp} as {root}")
                     fs.create(sinks._fs(self.spark, f"{root}/_COMPLETE")[1], True).close()
+                except BaseException:
+                    sinks.delete(self.spark, tmp)   # a half-built folder is never published
+                    raise
                 finally:
                     self._root = None
             self._root = root

@@ -84,6 +84,13 @@ def with_event_month(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumn(EVENT_MONTH, F.date_format(F.col(ts_col), "yyyy-MM"))
 
 
+def for_month_write(df: DataFrame, key: str) -> DataFrame:
+    """Range-partition by (month, key) before a partitioned write, so each
+    task writes one or two month folders (files ~ tasks + months rather
+    than tasks x months); a hot month is spread over several ranges."""
+    return df.repartitionByRange(F.col(EVENT_MONTH), F.col(key))
+
+
 def write_merged(spark: SparkSession, src: DataFrame, path: str, key: str, ts_col: str) -> dict:
     """Persist ``merge_into(existing, src)`` by rewriting only the touched
     month partitions of the fact table at ``path``.
@@ -96,7 +103,7 @@ def write_merged(spark: SparkSession, src: DataFrame, path: str, key: str, ts_co
     """
     src_m = with_event_month(src, ts_col)
     if not sinks.exists(spark, path):
-        src_m.write.mode("overwrite").partitionBy(EVENT_MONTH).parquet(path)
+        for_month_write(src_m, key).write.mode("overwrite").partitionBy(EVENT_MONTH).parquet(path)
         return {"mode": "create"}
     cur = spark.read.parquet(path)
     keys_new = src_m.select(key, F.col(EVENT_MONTH).alias("_new_month"))
@@ -110,7 +117,7 @@ def write_merged(spark: SparkSession, src: DataFrame, path: str, key: str, ts_co
     merged = merge_into(affected, src_m.select(*cur.columns), key)
     # materialise before overwriting the folder this plan reads
     merged = merged.checkpoint(eager=True)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    for_month_write(merged, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(EVENT_MONTH).parquet(path)
     present = {r[0] for r in merged.select(EVENT_MONTH).distinct().collect()}
     emptied = [m for m in touched if m not in present]

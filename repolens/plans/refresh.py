@@ -172,7 +172,7 @@ def refresh_mart(spark: SparkSession, root: str, dim_start=mart.DEFAULT_START, d
         path = _path(root, "mart", name)
         if full_refresh or not sinks.exists(spark, path):
             src = build(name, None)
-            M.with_event_month(src, FACT_EVENT_TS[name]).write.mode("overwrite") \
+            M.for_month_write(M.with_event_month(src, FACT_EVENT_TS[name]), FACT_KEY[name]).write.mode("overwrite") \
                 .option("partitionOverwriteMode", "static").partitionBy(M.EVENT_MONTH).parquet(path)
             report[name] = {"mode": "full"}
             continue

@@ -73,6 +73,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     cur = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not cur:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
+                               "(a machine-local folder does not survive executor loss)")
         cur = tempfile.mkdtemp(prefix="repolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(cur)
