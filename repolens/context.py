@@ -28,7 +28,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import sinks
+from .operators import runlog, sinks
 from .plans import analytics, mart, staging
 from .session import checkpoint_root
 from .sources import fixtures
@@ -41,20 +41,22 @@ DIM_END = _dt.date(2027, 12, 31)
 
 RAW = ("raw_repositories", "raw_commits", "raw_pull_requests", "raw_reviews", "raw_languages")
 STAGING = ("stg_repositories", "stg_commits", "stg_pull_requests", "stg_reviews", "stg_languages")
+RUN_LOG = ("run_log",)             # result rows of loading the raw tables
 MART = ("dim_date", "dim_repository", "fct_commits", "fct_pull_requests", "fct_reviews")
 # Aggregate tables the reference specifies as tables (built from the mart).
 AGGREGATES = ("agg_daily_activity", "agg_weekly_activity", "agg_monthly_activity", "agg_language_usage",
               "agg_hourly_heatmap")
-LAYERS = RAW + STAGING + MART + AGGREGATES   # build order
+LAYERS = RAW + STAGING + RUN_LOG + MART + AGGREGATES   # build order
 # Dependency waves: tables inside a wave are independent and are written
 # by concurrent Spark jobs.
-WAVES = (RAW + ("dim_date",), STAGING, ("dim_repository",), ("fct_commits", "fct_pull_requests"),
+WAVES = (RAW + ("dim_date",), STAGING + RUN_LOG, ("dim_repository",), ("fct_commits", "fct_pull_requests"),
          ("fct_reviews",) + AGGREGATES)
 INPUTS = ("customer", "orders", "lineitem", "events", "part")
 
 _PKG = os.path.dirname(os.path.abspath(__file__))
 _CODE = ("sources/fixtures.py", "plans/staging.py", "plans/mart.py", "plans/analytics.py", "operators/dedup.py",
-         "functions/scalar.py", "sources/calendar.py", "context.py")
+         "functions/scalar.py", "sources/calendar.py", "context.py", "operators/runlog.py",
+         "operators/ingest.py")
 _lock = threading.Lock()
 _READ_CACHE: dict[tuple[int, str], DataFrame] = {}
 
@@ -109,6 +111,8 @@ class Warehouse:
             return staging.stg_languages(t("raw_languages"))
         if name in STAGING:
             return staging.STAGING[name][1](t(staging.STAGING[name][0]))
+        if name == "run_log":
+            return runlog.run_log_from_raw({r: t(r) for r in RAW})
         if name == "dim_date":
             return mart.dim_date(self.spark, DIM_START, self.dim_end)
         if name == "dim_repository":

@@ -7,10 +7,13 @@ repository, so it is small, but nothing here assumes that).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ENTITIES, RUN_LOG_SCHEMA
+from .ingest import load_metrics
 
 
 def result_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -67,3 +70,15 @@ def run_by_entity(spark: SparkSession, results: DataFrame) -> DataFrame:
 def run_failures(results: DataFrame) -> DataFrame:
     """RUN-04: the failed steps with their error messages."""
     return results.filter(~F.col("success")).select("entityType", "repoFullName", "errorMessage")
+
+
+def run_log_from_raw(raw: dict[str, DataFrame]) -> DataFrame:
+    """RUN-01 for a load of whole raw tables: one result row per (entity,
+    repository) with the loaded row counts; every step succeeded."""
+    parts = []
+    for entity, table in ENTITIES.items():
+        df = raw[table]
+        if table == "raw_repositories":
+            df = df.withColumnRenamed("full_name", "repo_full_name")
+        parts.append(results_from_metrics(load_metrics(df, table, by=["repo_full_name"]), entity))
+    return reduce(DataFrame.unionByName, parts)

@@ -168,17 +168,6 @@ def inc_backfill_pull_requests(w):
 _REPO_COL = {t: ("full_name" if t == "raw_repositories" else "repo_full_name") for t in ENTITIES.values()}
 
 
-def derived_run_log(w) -> DataFrame:
-    """One result row per (entity, repository) for loading the raw tables:
-    counts from the load metrics; every step of this load succeeded."""
-    parts = []
-    for entity, table in ENTITIES.items():
-        raw = w.raw(table).withColumnRenamed(_REPO_COL[table], "repo_full_name")
-        m = load_metrics(raw, table, by=["repo_full_name"])
-        parts.append(RUN.results_from_metrics(m, entity))
-    return reduce(DataFrame.unionByName, parts)
-
-
 O.cte("run_log", "\nUNION ALL\n".join(
     f"SELECT '{e}' AS entityType, {_REPO_COL[t]} AS repoFullName, CAST(count(*) AS INTEGER) AS recordsExtracted, "
     f"CAST(count(*) AS INTEGER) AS recordsLoaded, true AS success, CAST(NULL AS VARCHAR) AS errorMessage, "
@@ -188,14 +177,14 @@ O.cte("run_log", "\nUNION ALL\n".join(
 
 @register("run_log", O.select_all("run_log"))
 def run_log(w):
-    return derived_run_log(w)
+    return w.build("run_log")
 
 
 @register("run_counts", O.sql("""
 SELECT count(*) FILTER (WHERE success) AS success_count, count(*) FILTER (WHERE NOT success) AS failure_count,
        coalesce(bool_or(NOT success), false) AS has_failures FROM run_log""", "run_log"))
 def run_counts(w):
-    return RUN.run_counts(derived_run_log(w))
+    return RUN.run_counts(w.run_log)
 
 
 @register("run_by_entity", O.sql("""
@@ -208,13 +197,13 @@ LEFT JOIN (SELECT entityType,
                   count(*) FILTER (WHERE NOT success) AS failures
            FROM run_log GROUP BY entityType) g USING (entityType)""", "run_log"))
 def run_by_entity(w):
-    return RUN.run_by_entity(w.spark, derived_run_log(w))
+    return RUN.run_by_entity(w.spark, w.run_log)
 
 
 @register("run_failures", O.sql("SELECT entityType, repoFullName, errorMessage FROM run_log WHERE NOT success",
                                 "run_log"))
 def run_failures(w):
-    return RUN.run_failures(derived_run_log(w))
+    return RUN.run_failures(w.run_log)
 
 
 @register("inc_advanceable", O.sql("""
@@ -222,7 +211,7 @@ SELECT entityType, bool_or(success) AS any_success, bool_and(success) AS all_suc
        bool_or(success) AND bool_and(success) AS advance
 FROM run_log GROUP BY entityType""", "run_log"))
 def inc_advanceable(w):
-    return INC.advanceable_entities(derived_run_log(w))
+    return INC.advanceable_entities(w.run_log)
 
 
 def derived_daily_runs(w) -> DataFrame:

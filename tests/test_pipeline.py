@@ -111,3 +111,16 @@ def test_failed_entity_does_not_stop_others(spark, workdir):
     assert INC.get_watermark(spark, root, "commits") == dt.datetime(2024, 5, 12, 2)
     log2 = refresh.run_ingest(spark, landing, f"{workdir}/wh2", reviews_need_prs=True)
     assert {r.entityType: r.success for r in log2.collect()}["reviews"] is False
+
+
+def test_full_mode_ignores_watermarks(spark, workdir):
+    landing, root = f"{workdir}/l", f"{workdir}/wh"
+    _land_day1(landing)
+    refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 12, 2))
+    inc = refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 13, 2))
+    loaded = {(r.entityType, r.repoFullName): r.recordsLoaded for r in inc.collect()}
+    assert loaded[("commits", "octo/hello")] == 0           # both commits are older than the watermark
+    full = refresh.run_ingest(spark, landing, root, full=True, run_instant=dt.datetime(2024, 5, 14, 2))
+    loaded = {(r.entityType, r.repoFullName): r.recordsLoaded for r in full.collect()}
+    assert loaded[("commits", "octo/hello")] == 2
+    assert INC.get_watermark(spark, root, "commits") == dt.datetime(2024, 5, 14, 2)   # still advanced

@@ -122,3 +122,11 @@ def test_register_staging_views(spark):
     assert set(out) == {"stg_commits", "stg_pull_requests", "stg_reviews", "stg_repositories", "stg_languages"}
     assert spark.sql("SELECT count(*) AS n FROM stg_commits").collect()[0].n == 0
     assert "pr_id" in spark.table("stg_pull_requests").columns
+
+
+def test_dim_date_default_end_is_today_plus_365(spark):
+    d = mart.dim_date(spark)
+    r = d.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"), F.count(F.lit(1)).alias("n")).collect()[0]
+    today = spark.range(1).select(F.current_date().alias("t")).collect()[0].t
+    assert r.lo == dt.date(2020, 1, 1) and r.hi == today + dt.timedelta(days=365)
+    assert r.n == (r.hi - r.lo).days + 1
