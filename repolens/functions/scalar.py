@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "c", "safe_timestamp", "utc_wallclock", "part", "day_of_week", "iso_week", "date_key",
     "surrogate_key", "whole_hours", "owner_of", "left_chars",
-    "day_start", "week_start", "month_start",
+    "day_start", "week_start", "month_start", "elapsed_seconds",
 ]
 
 
@@ -64,8 +64,17 @@ def surrogate_key(x) -> Column:
 
 
 def whole_hours(start, end) -> Column:
-    """Whole elapsed hours from start to end (truncated toward zero)."""
-    return F.timestamp_diff("HOUR", c(start), c(end))
+    """Whole elapsed hours from start to end (truncated toward zero).
+
+    ``end - start`` of two ``timestamp_ntz`` values is a day-time interval
+    computed without any time zone, so the result is the same in every
+    session time zone (``timestampdiff`` may shift across DST changes)."""
+    return (c(end) - c(start)).cast("interval hour").cast("bigint")
+
+
+def elapsed_seconds(start, end) -> Column:
+    """Whole seconds from start to end, time-zone independent (see whole_hours)."""
+    return (c(end) - c(start)).cast("interval second").cast("bigint")
 
 
 def owner_of(full_name) -> Column:
@@ -83,8 +92,10 @@ def day_start(x) -> Column:
 
 
 def week_start(x) -> Column:
-    """Monday of the ISO week containing x, as a date."""
-    return F.date_trunc("week", c(x)).cast("date")
+    """Monday of the ISO week containing x, as a date (date arithmetic, no
+    time zone involved: dayofweek 2 = Monday -> offset 0, 1 = Sunday -> 6)."""
+    d = F.to_date(c(x))
+    return F.date_sub(d, (F.dayofweek(d) + 5) % 7)
 
 
 def month_start(x) -> Column:

@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import elapsed_seconds
+
 
 # ----------------------------------------------------------------- single checks
 def check_unique(df: DataFrame, col: str) -> DataFrame:
@@ -67,7 +69,7 @@ def freshness(df: DataFrame, col: str, now, warn_hours: int = 24, error_hours: i
     """DQ-05: age of the newest row; status pass / warn / error.  A table
     without rows is an error."""
     m = df.agg(F.max(col).alias("max_loaded_at"))
-    age_s = F.timestamp_diff("SECOND", F.col("max_loaded_at"), _ts_lit(now))
+    age_s = elapsed_seconds(F.col("max_loaded_at"), _ts_lit(now))
     return m.select(
         "max_loaded_at",
         (age_s.cast("double") / 3600.0).alias("age_hours"),
@@ -78,7 +80,7 @@ def freshness(df: DataFrame, col: str, now, warn_hours: int = 24, error_hours: i
 def check_recency(df: DataFrame, col: str, now, hours: int = 48) -> DataFrame:
     """DQ-06: the newest value must be within ``hours`` of ``now``."""
     m = df.agg(F.max(col).alias("max_value"))
-    age_s = F.timestamp_diff("SECOND", F.col("max_value"), _ts_lit(now))
+    age_s = elapsed_seconds(F.col("max_value"), _ts_lit(now))
     return m.select("max_value", (age_s.cast("double") / 3600.0).alias("age_hours"),
                     F.when(F.col("max_value").isNotNull() & (age_s <= hours * 3600), "pass")
                      .otherwise("fail").alias("status"))
@@ -155,7 +157,7 @@ def _sql_failure(ch: Check) -> str:
 def _sql_age_status(ch: Check, mx: str, now) -> str:
     if isinstance(now, _dt.datetime):
         now = now.strftime("%Y-%m-%d %H:%M:%S.%f")
-    age = f"timestampdiff(SECOND, {mx}, CAST({_sql_lit(str(now))} AS TIMESTAMP_NTZ))"
+    age = f"CAST(CAST(CAST({_sql_lit(str(now))} AS TIMESTAMP_NTZ) - {mx} AS INTERVAL SECOND) AS BIGINT)"
     if ch.kind == "freshness":
         return (f"CASE WHEN {mx} IS NULL OR {age} > {ch.error_hours * 3600} THEN 'error' "
                 f"WHEN {age} > {ch.warn_hours * 3600} THEN 'warn' ELSE 'pass' END")

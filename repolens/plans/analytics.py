@@ -127,8 +127,9 @@ def languages_pivot(stg_languages: DataFrame, top_n: int = TOP_LANGUAGES) -> Dat
         Window.orderBy(F.col("total").desc(), F.col("language_name").asc()))).select("language_name", "rk")
     j = stg_languages.select("repo_full_name", "language_name", "byte_count") \
         .join(F.broadcast(ranked), "language_name", "inner")
-    p = j.groupBy("repo_full_name").pivot("rk", list(range(1, top_n + 1))).agg(F.sum("byte_count"))
-    return p.select("repo_full_name", *[F.col(str(k)).alias(f"top{k}_bytes") for k in range(1, top_n + 1)])
+    # pivot on the rank by conditional sums: one shuffle with partial aggregation
+    return j.groupBy("repo_full_name").agg(*[
+        F.sum(F.when(F.col("rk") == k, F.col("byte_count"))).alias(f"top{k}_bytes") for k in range(1, top_n + 1)])
 
 
 def review_counts(fct_prs: DataFrame, fct_reviews: DataFrame) -> DataFrame:

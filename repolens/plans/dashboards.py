@@ -190,11 +190,13 @@ def activity_timeline(fct_commits: DataFrame, fct_prs: DataFrame, fct_reviews: D
             .unionByName(fct_reviews.select("repo_id", week_start("submitted_at").alias("week_start"),
                                             F.lit("review").alias("kind")))
             .filter(F.col("week_start").isNotNull()))
-    p = rows.groupBy("repo_id", "week_start").pivot("kind", ["commit", "pr", "review"]).agg(F.count(F.lit(1)))
-    return p.select("repo_id", "week_start",
-                    F.coalesce("commit", F.lit(0)).alias("commits"),
-                    F.coalesce("pr", F.lit(0)).alias("prs"),
-                    F.coalesce("review", F.lit(0)).alias("reviews"))
+    # a pivot by conditional aggregation: one shuffle with partial
+    # aggregation (``groupBy().pivot()`` would aggregate twice)
+    k = F.col("kind")
+    return rows.groupBy("repo_id", "week_start").agg(
+        F.count_if(k == "commit").alias("commits"),
+        F.count_if(k == "pr").alias("prs"),
+        F.count_if(k == "review").alias("reviews"))
 
 
 def lines_by_repo(fct_commits: DataFrame, dim_repo: DataFrame) -> DataFrame:

@@ -88,7 +88,9 @@ def main(argv):
     from repolens.session import build_session
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session()
+    import os
+    tz = os.environ.get("ORACLE_TZ")   # check results do not depend on the session time zone
+    spark = build_session(extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duck(sf_dir)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0

@@ -29,3 +29,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert {"repo_full_name", "merge_rate", "is_total"} <= set(df.columns)
+
+
+ZONE_SENSITIVE = ("stg_pull_requests", "stg_commits", "dsh_review_turnaround", "agg_weekly_activity",
+                  "dsh_activity_timeline", "dq_freshness", "dq_suite", "dsh_streaks")
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    ok, detail = compare(other, con, name, E.queries()[name], ORACLE[name], SF)
+    assert ok, detail
