@@ -39,7 +39,9 @@ def _with_path_columns(schema: T.StructType, *cols: tuple[str, T.DataType]) -> T
 
 
 def _read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+    # FAILFAST: a malformed page fails the entity step (as a parse error
+    # fails the source step) instead of becoming a row of NULLs
+    return (spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
             .option("basePath", path).option("recursiveFileLookup", False)
             .json(path))
 

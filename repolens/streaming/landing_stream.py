@@ -52,7 +52,7 @@ def _source(spark: SparkSession, landing: str, entity: str, max_files: int | Non
         schema = schema.add(REPO_PARTITION, T.StringType())
     if entity == "reviews":
         schema = schema.add("pr_number", T.LongType())
-    df = r.schema(schema).option("multiLine", True).json(path)
+    df = r.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
     return df.withColumnRenamed(REPO_PARTITION, "repo_full_name") if entity != "repositories" else df
 
 

@@ -124,3 +124,15 @@ def test_full_mode_ignores_watermarks(spark, workdir):
     loaded = {(r.entityType, r.repoFullName): r.recordsLoaded for r in full.collect()}
     assert loaded[("commits", "octo/hello")] == 2
     assert INC.get_watermark(spark, root, "commits") == dt.datetime(2024, 5, 14, 2)   # still advanced
+
+
+def test_malformed_page_fails_only_its_entity(spark, workdir):
+    landing, root = f"{workdir}/l", f"{workdir}/wh"
+    _land_day1(landing)
+    write_page(landing, "pull_requests", None, repo="octo/hello", page=2, raw_text='[{"number": 3, "title": ')
+    log = refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 12, 2))
+    res = {}
+    for r in log.collect():
+        res.setdefault(r.entityType, set()).add(r.success)
+    assert res["pull_requests"] == {False} and res["commits"] == {True}
+    assert sinks.read_raw(spark, root, "raw_pull_requests").count() == 0
