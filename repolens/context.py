@@ -44,13 +44,14 @@ STAGING = ("stg_repositories", "stg_commits", "stg_pull_requests", "stg_reviews"
 RUN_LOG = ("run_log",)             # result rows of loading the raw tables
 MART = ("dim_date", "dim_repository", "fct_commits", "fct_pull_requests", "fct_reviews")
 # Aggregate tables the reference specifies as tables (built from the mart).
-AGGREGATES = ("agg_daily_activity", "agg_weekly_activity", "agg_monthly_activity", "agg_language_usage",
-              "agg_hourly_heatmap")
+AGGREGATES = ("agg_activity_day_repo", "agg_language_usage", "agg_hourly_heatmap",
+              "agg_daily_activity", "agg_weekly_activity", "agg_monthly_activity")
 LAYERS = RAW + STAGING + RUN_LOG + MART + AGGREGATES   # build order
 # Dependency waves: tables inside a wave are independent and are written
 # by concurrent Spark jobs.
 WAVES = (RAW + ("dim_date",), STAGING + RUN_LOG, ("dim_repository",), ("fct_commits", "fct_pull_requests"),
-         ("fct_reviews",) + AGGREGATES)
+         ("fct_reviews", "agg_activity_day_repo", "agg_language_usage", "agg_hourly_heatmap"),
+         ("agg_daily_activity", "agg_weekly_activity", "agg_monthly_activity"))
 INPUTS = ("customer", "orders", "lineitem", "events", "part")
 
 _PKG = os.path.dirname(os.path.abspath(__file__))
@@ -123,12 +124,14 @@ class Warehouse:
             return mart.fct_pull_requests(t("stg_pull_requests"), t("dim_repository"), t("dim_date"))
         if name == "fct_reviews":
             return mart.fct_reviews(t("stg_reviews"), t("dim_repository"), t("dim_date"), t("fct_pull_requests"))
+        if name == "agg_activity_day_repo":
+            return analytics.activity_by_day_repo(t("fct_commits"), t("fct_pull_requests"))
         if name == "agg_daily_activity":
-            return analytics.daily_activity(t("fct_commits"), t("fct_pull_requests"))
+            return analytics.daily_activity(t("agg_activity_day_repo"))
         if name == "agg_weekly_activity":
-            return analytics.weekly_activity(t("fct_commits"), t("fct_pull_requests"))
+            return analytics.weekly_activity(t("agg_activity_day_repo"))
         if name == "agg_monthly_activity":
-            return analytics.monthly_activity(t("fct_commits"), t("fct_pull_requests"))
+            return analytics.monthly_activity(t("agg_activity_day_repo"))
         if name == "agg_language_usage":
             return analytics.language_usage(t("raw_languages"), t("fct_commits"), t("dim_repository"))
         if name == "agg_hourly_heatmap":

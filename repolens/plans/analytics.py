@@ -27,36 +27,45 @@ def activity_rows(fct_commits: DataFrame, fct_prs: DataFrame) -> DataFrame:
     return c.unionByName(p).filter(F.col("activity_date").isNotNull())
 
 
-def _activity_by(rows: DataFrame, period: str) -> DataFrame:
-    return rows.groupBy(period).agg(
+def activity_by_day_repo(fct_commits: DataFrame, fct_prs: DataFrame) -> DataFrame:
+    """The finest activity grain, built once: one row per (date, repo) with
+    commits, PRs created and lines changed.  Daily, weekly and monthly
+    tables roll up from it; distinct repositories stay exact because the
+    repository is still a column here."""
+    return activity_rows(fct_commits, fct_prs).groupBy("activity_date", "repo_id").agg(
         F.sum("is_commit").alias("commits"),
         F.sum("is_pr").alias("prs_created"),
-        F.sum("lines").alias("lines_changed"),
+        F.sum("lines").alias("lines_changed"))
+
+
+def _activity_by(day_repo: DataFrame, period: str) -> DataFrame:
+    return day_repo.groupBy(period).agg(
+        F.sum("commits").alias("commits"),
+        F.sum("prs_created").alias("prs_created"),
+        F.sum("lines_changed").alias("lines_changed"),
         F.countDistinct("repo_id").alias("active_repos"),
     )
 
 
-def daily_activity(fct_commits: DataFrame, fct_prs: DataFrame) -> DataFrame:
+def daily_activity(day_repo: DataFrame) -> DataFrame:
     """AGG-01: per date; days without activity are absent."""
-    return _activity_by(activity_rows(fct_commits, fct_prs), "activity_date")
+    return _activity_by(day_repo, "activity_date")
 
 
-def weekly_activity(fct_commits: DataFrame, fct_prs: DataFrame) -> DataFrame:
+def weekly_activity(day_repo: DataFrame) -> DataFrame:
     """AGG-02: per ISO week (Monday start), distincts recomputed per week,
     plus the change in commits versus the previous week that has data.
 
     The ``lag`` window has no partition key: it runs over one row per
     week, a size bounded by the calendar, not by data volume."""
-    rows = activity_rows(fct_commits, fct_prs).withColumn("week_start", week_start("activity_date"))
-    g = _activity_by(rows, "week_start")
+    g = _activity_by(day_repo.withColumn("week_start", week_start("activity_date")), "week_start")
     w = Window.orderBy("week_start")
     return g.withColumn("commits_change", F.col("commits") - F.lag("commits").over(w))
 
 
-def monthly_activity(fct_commits: DataFrame, fct_prs: DataFrame) -> DataFrame:
+def monthly_activity(day_repo: DataFrame) -> DataFrame:
     """AGG-03: per calendar month."""
-    rows = activity_rows(fct_commits, fct_prs).withColumn("month_start", month_start("activity_date"))
-    return _activity_by(rows, "month_start")
+    return _activity_by(day_repo.withColumn("month_start", month_start("activity_date")), "month_start")
 
 
 def language_bytes_by_month(raw_languages: DataFrame) -> DataFrame:
