@@ -187,16 +187,37 @@ def _model_scalars(df: DataFrame, checks: list[Check], now) -> DataFrame:
     return df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def _model_unique(spark: SparkSession, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All unique checks of one model with one shuffle: (check, value)
-    pairs are counted together (values compared as text), then the number
-    of repeated values is counted per check; checks without repeats get 0."""
-    pairs = df.selectExpr("inline(array(" + ", ".join(
-        f"named_struct('i', {i}, 'v', CAST({_q(ch.column)} AS STRING))" for i, ch in enumerate(checks)) + "))")
-    dup = (pairs.filter("v IS NOT NULL").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-           .groupBy("i").agg(F.count(F.lit(1)).alias("failures")))
+def _all_unique(spark: SparkSession, models: dict[str, DataFrame], unique: dict[str, list[Check]]) -> DataFrame:
+    """Every unique check of the suite with one shuffle: each model emits
+    (check id, value as text) pairs, all pairs are counted together, then
+    repeated values are counted per check; checks without repeats get 0."""
+    checks: list[Check] = []
+    parts = []
+    for m, cs in unique.items():
+        pairs = []
+        for ch in cs:
+            pairs.append(f"named_struct('i', {len(checks)}, 'v', CAST({_q(ch.column)} AS STRING))")
+            checks.append(ch)
+        parts.append(models[m].selectExpr(f"inline(array({', '.join(pairs)}))"))
+    dup = (_union_all(parts).filter("v IS NOT NULL").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+           .filter("n > 1").groupBy("i").agg(F.count(F.lit(1)).alias("failures")))
     ids = spark.range(len(checks)).selectExpr("CAST(id AS INT) AS i")
-    j = F.broadcast(ids).join(dup, "i", "left")        # one row per check of this model
+    j = F.broadcast(ids).join(dup, "i", "left")        # one row per unique check
+    rows = ", ".join(_sql_row(ch, "coalesce(failures, 0)") for ch in checks)
+    return j.selectExpr(f"element_at(array({rows}), i + 1) AS r").select("r.*")
+
+
+def _fk_group(spark: SparkSession, models: dict[str, DataFrame], parent: str, field: str,
+              checks: list[Check]) -> DataFrame:
+    """All relationships checks against one parent key with one anti join:
+    the children's non-NULL keys are tagged with their check id and
+    unioned; orphans are counted per check (0 when none)."""
+    keys = _union_all([models[ch.model].selectExpr(f"{i} AS i", f"{_q(ch.column)} AS k").filter("k IS NOT NULL")
+                       for i, ch in enumerate(checks)])
+    p = models[parent].selectExpr(f"{_q(field)} AS k").filter("k IS NOT NULL")
+    orphans = keys.join(p, "k", "left_anti").groupBy("i").agg(F.count(F.lit(1)).alias("failures"))
+    ids = spark.range(len(checks)).selectExpr("CAST(id AS INT) AS i")
+    j = F.broadcast(ids).join(orphans, "i", "left")
     rows = ", ".join(_sql_row(ch, "coalesce(failures, 0)") for ch in checks)
     return j.selectExpr(f"element_at(array({rows}), i + 1) AS r").select("r.*")
 
@@ -223,11 +244,14 @@ def run_checks(spark: SparkSession, models: dict[str, DataFrame], suite: list[Ch
         elif ch.kind == "unique":
             unique.setdefault(ch.model, []).append(ch)
     parts = [_model_scalars(models[m], cs, now) for m, cs in scalar.items()]
-    parts += [_model_unique(spark, models[m], cs) for m, cs in unique.items()]
+    if unique:
+        parts.append(_all_unique(spark, models, unique))
+    by_parent: dict[tuple[str, str], list[Check]] = {}
     for ch in suite:
         if ch.kind == "relationships":
-            f = check_fk(models[ch.model], ch.column, models[ch.to], ch.field).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(f.selectExpr(f"inline(array({_sql_row(ch, 'n')}))"))
+            by_parent.setdefault((ch.to, ch.field), []).append(ch)
+    for (parent, field), cs in by_parent.items():
+        parts.append(_fk_group(spark, models, parent, field, cs))
     if not parts:
         return spark.createDataFrame([], _OUT)
     return _union_all([p.select(*_COLS) for p in parts])
