@@ -7,7 +7,6 @@ All functions are narrow (per-row) projections: no shuffle.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,15 +146,3 @@ def load_metrics(df: DataFrame, table: str | None = None, required: list[str] |
         F.count_if(n_err > 0).alias("failed_rows"),
         F.coalesce(F.sum(n_err), F.lit(0)).cast("bigint").alias("error_count"),
     )
-
-
-@dataclass
-class InsertResult:
-    """Driver-side summary of one load call (what the loader returns)."""
-    total_rows: int = 0
-    successful_rows: int = 0
-    errors: list[str] = field(default_factory=list)
-
-    @property
-    def has_errors(self) -> bool:
-        return bool(self.errors)

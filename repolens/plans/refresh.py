@@ -22,7 +22,7 @@ from ..operators import runlog as RUN
 from ..operators import sinks
 from ..schemas import ENTITIES, RUN_LOG_SCHEMA
 from ..sources import landing as L
-from . import mart, staging
+from . import analytics, mart, staging
 
 _FLATTEN = {
     "repositories": lambda df: ING.to_raw_repositories(df),
@@ -141,7 +141,7 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFra
 
 
 def refresh_mart(spark: SparkSession, root: str, dim_start=mart.DEFAULT_START, dim_end=None,
-                 full_refresh: bool = False) -> dict:
+                 full_refresh: bool = False, aggregates: bool = True) -> dict:
     """Build dimensions (full refresh) and merge new rows into the facts.
 
     A fact that does not exist yet (or ``full_refresh``) is built from all
@@ -182,4 +182,27 @@ def refresh_mart(spark: SparkSession, root: str, dim_start=mart.DEFAULT_START, d
             continue
         src = build(name, mark)
         report[name] = M.write_merged(spark, src, path, FACT_KEY[name], FACT_EVENT_TS[name])
+    if aggregates:
+        refresh_aggregates(spark, root)
+        report["aggregates"] = {"mode": "full"}
     return report
+
+
+def refresh_aggregates(spark: SparkSession, root: str) -> None:
+    """Rebuild the aggregate tables from the written facts (full refresh:
+    they are small, one row per day / week / month / cell / language)."""
+    fct = {n: read_table(spark, root, "mart", n).drop(M.EVENT_MONTH) for n in ("fct_commits", "fct_pull_requests")}
+    day_repo_path = _path(root, "mart", "agg_activity_day_repo")
+    sinks.overwrite_table(analytics.activity_by_day_repo(fct["fct_commits"], fct["fct_pull_requests"]), day_repo_path)
+    day_repo = spark.read.parquet(day_repo_path)
+    out = {
+        "agg_daily_activity": analytics.daily_activity(day_repo),
+        "agg_weekly_activity": analytics.weekly_activity(day_repo),
+        "agg_monthly_activity": analytics.monthly_activity(day_repo),
+        "agg_hourly_heatmap": analytics.hourly_heatmap(spark, fct["fct_commits"]),
+        "agg_language_usage": analytics.language_usage(sinks.read_raw(spark, root, "raw_languages")
+                                                       .drop("ingestion_date"), fct["fct_commits"],
+                                                       read_table(spark, root, "mart", "dim_repository")),
+    }
+    for name, df in out.items():
+        sinks.overwrite_table(df, _path(root, "mart", name))

@@ -136,3 +136,15 @@ def test_malformed_page_fails_only_its_entity(spark, workdir):
         res.setdefault(r.entityType, set()).add(r.success)
     assert res["pull_requests"] == {False} and res["commits"] == {True}
     assert sinks.read_raw(spark, root, "raw_pull_requests").count() == 0
+
+
+def test_refresh_writes_aggregate_tables(spark, workdir):
+    landing, root = f"{workdir}/l", f"{workdir}/wh"
+    _land_day1(landing)
+    refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 12, 2))
+    refresh.refresh_mart(spark, root, dim_end=DIM_END)
+    daily = {r.activity_date: r for r in spark.read.parquet(f"{root}/mart/agg_daily_activity").collect()}
+    assert daily[dt.date(2024, 5, 10)].commits == 1 and daily[dt.date(2024, 5, 1)].prs_created == 2
+    assert spark.read.parquet(f"{root}/mart/agg_hourly_heatmap").count() == 168
+    lang = spark.read.parquet(f"{root}/mart/agg_language_usage").collect()
+    assert {(r.language_name, r.bytes) for r in lang if r.bytes} == {("Java", 300), ("Shell", 100)}
