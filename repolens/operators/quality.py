@@ -200,11 +200,8 @@ def _all_unique(spark: SparkSession, models: dict[str, DataFrame], unique: dict[
             checks.append(ch)
         parts.append(models[m].selectExpr(f"inline(array({', '.join(pairs)}))"))
     dup = (_union_all(parts).filter("v IS NOT NULL").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-           .filter("n > 1").groupBy("i").agg(F.count(F.lit(1)).alias("failures")))
-    ids = spark.range(len(checks)).selectExpr("CAST(id AS INT) AS i")
-    j = F.broadcast(ids).join(dup, "i", "left")        # one row per unique check
-    rows = ", ".join(_sql_row(ch, "coalesce(failures, 0)") for ch in checks)
-    return j.selectExpr(f"element_at(array({rows}), i + 1) AS r").select("r.*")
+           .filter("n > 1").selectExpr("i", "CAST(1 AS BIGINT) AS failures"))
+    return _per_check(spark, dup, checks)
 
 
 def _fk_group(spark: SparkSession, models: dict[str, DataFrame], parent: str, field: str,
@@ -215,11 +212,19 @@ def _fk_group(spark: SparkSession, models: dict[str, DataFrame], parent: str, fi
     keys = _union_all([models[ch.model].selectExpr(f"{i} AS i", f"{_q(ch.column)} AS k").filter("k IS NOT NULL")
                        for i, ch in enumerate(checks)])
     p = models[parent].selectExpr(f"{_q(field)} AS k").filter("k IS NOT NULL")
-    orphans = keys.join(p, "k", "left_anti").groupBy("i").agg(F.count(F.lit(1)).alias("failures"))
-    ids = spark.range(len(checks)).selectExpr("CAST(id AS INT) AS i")
-    j = F.broadcast(ids).join(orphans, "i", "left")
-    rows = ", ".join(_sql_row(ch, "coalesce(failures, 0)") for ch in checks)
-    return j.selectExpr(f"element_at(array({rows}), i + 1) AS r").select("r.*")
+    orphans = keys.join(p, "k", "left_anti").selectExpr("i", "CAST(1 AS BIGINT) AS failures")
+    return _per_check(spark, orphans, checks)
+
+
+def _per_check(spark: SparkSession, failing: DataFrame, checks: list[Check]) -> DataFrame:
+    """Sum failing rows (i, 1) per check id, with a zero row for every check
+    so passing checks appear too (an aggregate, not a join), and turn each
+    id into its result row."""
+    zeros = spark.range(len(checks)).selectExpr("CAST(id AS INT) AS i", "CAST(0 AS BIGINT) AS failures")
+    tot = failing.selectExpr("CAST(i AS INT) AS i", "failures").unionByName(zeros) \
+        .groupBy("i").agg(F.sum("failures").alias("failures"))
+    rows = ", ".join(_sql_row(ch, "failures") for ch in checks)
+    return tot.selectExpr(f"element_at(array({rows}), i + 1) AS r").select("r.*")
 
 
 def _union_all(parts: list[DataFrame]) -> DataFrame:
