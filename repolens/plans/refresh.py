@@ -20,7 +20,7 @@ from ..operators import ingest as ING
 from ..operators import merge as M
 from ..operators import runlog as RUN
 from ..operators import sinks
-from ..schemas import ENTITIES, RUN_LOG_SCHEMA
+from ..schemas import ENTITIES, FACT_EVENT_TS, FACT_KEY, RUN_LOG_SCHEMA
 from ..sources import landing as L
 from . import analytics, mart, staging
 
@@ -128,8 +128,6 @@ def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
 
 
 # ----------------------------------------------------------------- mart refresh
-FACT_EVENT_TS = {"fct_commits": "committed_at", "fct_pull_requests": "created_at", "fct_reviews": "submitted_at"}
-FACT_KEY = {"fct_commits": "commit_sha", "fct_pull_requests": "pr_key", "fct_reviews": "review_id"}
 
 
 def _path(root: str, layer: str, name: str) -> str:

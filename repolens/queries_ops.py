@@ -128,7 +128,7 @@ def inc_newer_than_target(w):
     state, mark = M.high_water_mark(_commits_target(w))
     if state != "mark":
         return M.newer_than_target(w.stg_commits, _commits_target(w))
-    return staging.stg_commits(w.raw_commits, since=mark)
+    return staging.stg_commits(w.table("raw_commits", partitioned=True), since=mark)
 
 
 def _merge_sql(target: str, src: str, key: str) -> str:
@@ -141,7 +141,8 @@ UNION ALL SELECT * FROM {src}""", target, src)
 def inc_merge_commits(w):
     target = _commits_target(w)
     _, mark = M.high_water_mark(target)
-    src = mart.fct_commits(staging.stg_commits(w.raw_commits, since=mark), w.dim_repository, w.dim_date)
+    src = mart.fct_commits(staging.stg_commits(w.table("raw_commits", partitioned=True), since=mark),
+                           w.dim_repository, w.dim_date)
     return M.merge_into(target, src, "commit_sha")
 
 
@@ -149,7 +150,8 @@ def inc_merge_commits(w):
 def inc_merge_pull_requests(w):
     target = _prs_target(w)
     _, mark = M.high_water_mark(target)
-    src = mart.fct_pull_requests(staging.stg_pull_requests(w.raw_pull_requests, since=mark),
+    src = mart.fct_pull_requests(staging.stg_pull_requests(w.table("raw_pull_requests", partitioned=True),
+                                                           since=mark),
                                  w.dim_repository, w.dim_date)
     return M.merge_into(target, src, "pr_key")
 

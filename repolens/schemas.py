@@ -66,6 +66,10 @@ ENTITIES: dict[str, str] = {
 
 PARTITION_COLUMN = "ingestion_date"
 
+# Fact tables: the timestamp that decides the event-month partition, and the merge key.
+FACT_EVENT_TS = {"fct_commits": "committed_at", "fct_pull_requests": "created_at", "fct_reviews": "submitted_at"}
+FACT_KEY = {"fct_commits": "commit_sha", "fct_pull_requests": "pr_key", "fct_reviews": "review_id"}
+
 WATERMARK_SCHEMA = T.StructType([
     T.StructField("entity_type", S, False),
     T.StructField("last_extracted_at", TS, False),

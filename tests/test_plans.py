@@ -58,3 +58,8 @@ def test_incremental_mark_prunes_day_partitions(spark, workdir):
     p = _plan(q)
     assert "PartitionFilters: [isnotnull(ingestion_date" in p and "ingestion_date" in p.split("PartitionFilters")[1][:200]
     assert q.count() == 20
+
+
+def test_registered_incremental_query_pushes_mark(spark):
+    p = _plan(E.queries()["inc_newer_than_target"](spark, SF))
+    assert "PushedFilters: [IsNotNull(ingestion_timestamp), GreaterThan(ingestion_timestamp" in p
