@@ -199,7 +199,9 @@ class Warehouse:
                                 j.result()
                     fs, src = sinks._fs(self.spark, tmp)
                     dst = sinks._fs(self.spark, root)[1]
-                    if not fs.exists(dst) and not fs.rename(src, dst):
+                    if fs.exists(dst):
+                        sinks.delete(self.spark, tmp)   # another writer published the same content first
+                    elif not fs.rename(src, dst):
                         raise OSError(f"could not publish {tmp} as {root}")
                     fs.create(sinks._fs(self.spark, f"{root}/_COMPLETE")[1], True).close()
                 except BaseException:
