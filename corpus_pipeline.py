@@ -44,8 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, ids_sha256 and decoded_sha256 (of the text
     decoded from the ids) of every row, in the order of the rows."""
-    path = public_tokenizers.path(TOKENIZER)
-    done = bpe_dp.decode(bpe_dp.encode(docs, path), path)
+    done = bpe_dp.round_trip(docs, public_tokenizers.path(TOKENIZER))
     return done.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"))

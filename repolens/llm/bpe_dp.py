@@ -33,16 +33,15 @@ from pyspark.sql import functions as F
 
 from .bpe_vocab import NEVER, Pieces, Vocabulary, load_spec, on_worker
 
-BATCH_TEXT = 8 << 20      # code points encoded before a batch is handed on
+BATCH_TEXT = 2 << 20      # code points encoded before a batch is handed on
+ROWS = 256                # rows read from a batch at once
 
 
 class Encoder:
     def __init__(self, spec: dict):
         v = self.vocab = Vocabulary(spec)
-        made = {c: (rank, a, b) for (a, b), (rank, c) in v.merges.items()}
-        self.ranks = {a << 20 | b: rank for (a, b), (rank, _) in v.merges.items()}
-        self.right_edge = {t: self._edge(t, made, 2) for t in v.tokens}
-        self.left_edge = {t: self._edge(t, made, 1) for t in v.tokens}
+        self.made = {c: (rank, a, b) for rank, (a, b, c) in enumerate(spec["merges"])}
+        self.edges: dict[tuple[int, int], list] = {}
         self.matches = ahocorasick.Automaton()
         for t, raw in v.tokens.items():
             # a token that does not encode alone as itself can end a prefix, but not start one
@@ -51,22 +50,27 @@ class Encoder:
         self.pairs: dict[int, bool] = {}
         self.pieces = Pieces(v, self._packed, b"".join)
 
-    @staticmethod
-    def _edge(token: int, made: dict, side: int) -> list[tuple[int, int]]:
-        """Nodes of one edge of a token's merge tree, leaf first, each with
-        the rank of the merge that absorbs it (NEVER for the token)."""
-        out, absorbed = [(token, NEVER)], None
-        while token in made:
-            absorbed = made[token][0]
-            token = made[token][side]
-            out.append((token, absorbed))
-        return out[::-1]
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """Nodes of one edge (1 left, 2 right) of a token's merge tree, leaf
+        first, each with the rank of the merge that absorbs it (NEVER for
+        the token)."""
+        known = self.edges.get((token, side))
+        if known is None:
+            known, node = [(token, NEVER)], token
+            while node in self.made:
+                absorbed = self.made[node][0]
+                node = self.made[node][side]
+                known.append((node, absorbed))
+            known.reverse()
+            self.edges[token, side] = known
+        return known
 
     def compatible(self, left: int, right: int) -> bool:
-        a, b, i, j = self.right_edge[left], self.left_edge[right], 0, 0
+        a, b, i, j = self._edge(left, 2), self._edge(right, 1), 0, 0
+        rank_of = self.vocab.rank_of
         while True:
             (x, x_gone), (y, y_gone) = a[i], b[j]
-            rank = self.ranks.get(x << 20 | y)
+            rank = rank_of(x << 20 | y)
             if rank is not None and rank < x_gone and rank <= y_gone:
                 return False
             if x_gone == y_gone == NEVER:
@@ -93,7 +97,7 @@ class Encoder:
                 fits = pairs.get(key)
                 if fits is None:
                     fits = self.compatible(last[rest], token)
-                    if len(pairs) < 500_000:
+                    if len(pairs) < 250_000:
                         pairs[key] = fits
             if fits:
                 last[end], size[end] = token, length
@@ -135,25 +139,36 @@ class Decoder:
         return self.flat[at].tobytes().decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
-    """One row per input row: doc_id, ids (array<int>)."""
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str]]:
+    for a in range(0, batch.num_rows, ROWS):
+        rows = batch.slice(a, ROWS)
+        yield from zip(rows.column("doc_id").to_pylist(), (t or "" for t in rows.column("text").to_pylist()))
+
+
+def _encoded(doc_ids: list, packed: list[bytes], more: dict[str, pa.Array]) -> pa.RecordBatch:
+    ends = np.cumsum([0] + [len(p) // 4 for p in packed]).astype(np.int32)
+    ids = pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32())
+    return pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64()),
+                                       "ids": pa.ListArray.from_arrays(pa.array(ends), ids)} | more)
+
+
+def _run(docs: DataFrame, tokenizer_file: str, back: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(load_spec(tokenizer_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = on_worker("encode", shared, Encoder)
+        decoder = on_worker("decode", shared, Decoder) if back else None
 
         def put(doc_ids, packed):
-            ends = np.cumsum([0] + [len(p) // 4 for p in packed]).astype(np.int32)
-            ids = pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()),
-                                               pa.ListArray.from_arrays(pa.array(ends), ids)], ["doc_id", "ids"])
+            texts = [decoder.decode(np.frombuffer(p, np.int32)) for p in packed] if back else []
+            return _encoded(doc_ids, packed, {"text": pa.array(texts, pa.string())} if back else {})
 
         for batch in batches:
             doc_ids, packed, held = [], [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, text in _texts(batch):
                 doc_ids.append(doc_id)
                 packed.append(encoder.packed(text) if text else b"")
-                held += len(text or "")
+                held += len(text)
                 if held >= BATCH_TEXT:
                     yield put(doc_ids, packed)
                     doc_ids, packed, held = [], [], 0
@@ -161,7 +176,18 @@ def encode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
                 yield put(doc_ids, packed)
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return src.mapInArrow(run, "doc_id long, ids array<int>")
+    return src.mapInArrow(run, "doc_id long, ids array<int>" + ", text string" * back)
+
+
+def encode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
+    """One row per input row: doc_id, ids (array<int>)."""
+    return _run(docs, tokenizer_file, back=False)
+
+
+def round_trip(docs: DataFrame, tokenizer_file: str) -> DataFrame:
+    """``decode(encode(docs))`` in one pass: doc_id, ids and the text decoded
+    from the ids."""
+    return _run(docs, tokenizer_file, back=True)
 
 
 def decode(encoded: DataFrame, tokenizer_file: str) -> DataFrame:

@@ -54,7 +54,6 @@ class Vocabulary:
         self.added: dict[str, int] = spec["added"]
         self.by_bytes = {b: i for i, b in self.tokens.items()}
         self.byte_ids = [self.by_bytes[bytes([b])] for b in range(256)]
-        self.merges = {(a, b): (rank, c) for rank, (a, b, c) in enumerate(spec["merges"])}
         self.rank_of = {a << 20 | b: rank for rank, (a, b, _) in enumerate(spec["merges"])}.get
         self.made = [c for _, _, c in spec["merges"]]
         self.pieces = regex.compile(PATTERN).findall
@@ -72,7 +71,6 @@ class Vocabulary:
 
         ids = [self.byte_ids[b] for b in data]
         n = len(ids)
-        merges = self.merges
         if n <= 32:   # short: a list of the pairs' ranks is cheaper than a heap
             rank_of, made = self.rank_of, self.made
             ranks = [rank_of(a << 20 | b, NEVER) for a, b in zip(ids, ids[1:])]
@@ -88,24 +86,25 @@ class Vocabulary:
                 if i < len(ranks):
                     ranks[i] = rank_of(c << 20 | ids[i + 1], NEVER)
             return ids
+        rank_of, made = self.rank_of, self.made
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1)
-                if (m := merges.get((ids[i], ids[i + 1]))) is not None]
+        heap = [(rank, i, ids[i], ids[i + 1]) for i in range(n - 1)
+                if (rank := rank_of(ids[i] << 20 | ids[i + 1])) is not None]
         heapify(heap)
         while heap:
-            _, i, a, b, c = heappop(heap)
+            rank, i, a, b = heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue        # one side has been merged since
-            ids[i], ids[j] = c, -1
+            ids[i], ids[j] = c, _ = made[rank], -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (m := merges.get((c, ids[k]))) is not None:
-                    heappush(heap, (m[0], i, c, ids[k], m[1]))
+                if (rank := rank_of(c << 20 | ids[k])) is not None:
+                    heappush(heap, (rank, i, c, ids[k]))
             h = before[i]
-            if h >= 0 and (m := merges.get((ids[h], c))) is not None:
-                heappush(heap, (m[0], h, ids[h], c, m[1]))
+            if h >= 0 and (rank := rank_of(ids[h] << 20 | c)) is not None:
+                heappush(heap, (rank, h, ids[h], c))
         return [t for t in ids if t >= 0]
 
 
@@ -125,7 +124,7 @@ class Memo(dict):
     ``most`` are held they become the older half, from which a string that
     is asked for again comes back."""
 
-    def __init__(self, fn, most: int = 250_000, longest: int = 40):
+    def __init__(self, fn, most: int = 160_000, longest: int = 40):
         super().__init__()
         self.fn, self.most, self.longest, self.older = fn, most, longest, {}
 

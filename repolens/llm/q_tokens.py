@@ -19,8 +19,7 @@ def op3_token_count(spark, sf_dir):
 
 def encoded_digest(docs):
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    path = public_tokenizers.path(TOKENIZER)
-    done = bpe_dp.decode(bpe_dp.encode(docs, path), path)
+    done = bpe_dp.round_trip(docs, public_tokenizers.path(TOKENIZER))
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"))

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from .bpe_vocab import Pieces, Vocabulary, load_spec, on_worker
 
+ROWS = 256                # rows read from a batch at once
+
 
 def whole_tokens(vocab: Vocabulary) -> list[str]:
     """Vocabulary strings that, as a pre-token, encode alone as one token."""
@@ -56,8 +58,9 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = on_worker("count", shared, Counter)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            tokens = [counter.count(t) if t else 0 for t in texts]
+            tokens = []
+            for a in range(0, batch.num_rows, ROWS):
+                tokens += [counter.count(t) if t else 0 for t in batch.slice(a, ROWS).column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"),
                                               pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
