@@ -39,7 +39,9 @@ HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 VOCABULARY, LEAST_TEXTS = 20_000, 3
 GRAM_BITS = 13
 TRAIN_TOXIC, TRAIN_CLEAN = 600, 1400
-ALL_WINDOWS_EPOCHS, HIGHEST_EPOCHS, BATCH, RATE = 2, 4, 256, 0.01
+ALL_WINDOWS_STEPS, HIGHEST_STEPS, RATE = 100, 60, 0.01      # at least, in whole rounds over the rows
+LEAST_BATCH, BATCH = 32, 256
+DECAY = 1.0
 KNOWN_WORDS = 150_000     # words whose inputs a worker keeps
 
 words_of = re.compile(r"\w+").findall
@@ -218,6 +220,8 @@ def train(texts: list[str], toxic: list[int], seed: int = 0) -> dict[str, Any] |
             m1 += 0.1 * (g[k] - m1)
             m2 += 0.001 * (g[k] ** 2 - m2)
             v -= RATE * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
+            if k in ("word", "char"):       # rare words should not be learned by heart
+                v *= np.float32(1 - RATE * DECAY)
 
     def highest() -> np.ndarray:
         _, gates = gate_inputs(p, word, gram, first)
@@ -225,17 +229,17 @@ def train(texts: list[str], toxic: list[int], seed: int = 0) -> dict[str, Any] |
         order = np.lexsort((logit, text))
         return order[np.append(np.flatnonzero(np.diff(text[order])), len(order) - 1)]
 
-    for epoch in range(ALL_WINDOWS_EPOCHS + HIGHEST_EPOCHS):
-        if epoch < ALL_WINDOWS_EPOCHS:      # as many windows as texts, drawn anew: long texts do not outweigh others
-            pool = np.array([], int)
+    batch = int(np.clip(len(texts) // 8, LEAST_BATCH, BATCH))
+    while step < ALL_WINDOWS_STEPS + HIGHEST_STEPS:
+        if step < ALL_WINDOWS_STEPS:        # as many windows as texts, drawn anew: long texts do not outweigh others
             order = rng.permutation(len(at))
             _, one = np.unique(text[order], return_index=True)
             pool = np.concatenate([order[one], rng.choice(len(at), min(len(at), 3 * len(texts)), replace=False)])
         else:
             pool = highest()
         pool = rng.permutation(pool)
-        for a in range(0, len(pool), BATCH):
-            learn(pool[a:a + BATCH])
+        for a in range(0, len(pool), batch):
+            learn(pool[a:a + batch])
     return {"p": p, "vocabulary": vocabulary}
 
 
