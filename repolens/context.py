@@ -56,12 +56,17 @@ WAVES = (RAW + ("dim_date",), STAGING + RUN_LOG, ("dim_repository",), ("fct_comm
 INPUTS = ("customer", "orders", "lineitem", "events", "part")
 
 _PKG = os.path.dirname(os.path.abspath(__file__))
-_CODE = ("sources/fixtures.py", "plans/staging.py", "plans/mart.py", "plans/analytics.py", "operators/dedup.py",
-         "functions/scalar.py", "sources/calendar.py", "context.py", "operators/runlog.py",
-         "operators/ingest.py", "operators/sinks.py", "operators/merge.py")
+_OWN = ("functions", "operators", "plans", "sources")    # sub-packages whose code decides what a layer holds
+
+
+def _code_files() -> list[str]:
+    return sorted([f for f in os.listdir(_PKG) if f.endswith(".py")]
+                  + [f"{d}/{f}" for d in _OWN for f in os.listdir(os.path.join(_PKG, d)) if f.endswith(".py")])
+
+
 _PARTITION_COLUMN = {t: merge.EVENT_MONTH for t in FACT_EVENT_TS}
 _lock = threading.Lock()
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+_READ_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, dim_end) -> str:
@@ -74,7 +79,8 @@ def _fingerprint(spark: SparkSession, sf_dir: str, dim_end) -> str:
         fs = p.getFileSystem(conf)
         for st in fs.listStatus(p):
             h.update(f"{t}:{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
-    for rel in _CODE:
+    for rel in _code_files():
+        h.update(rel.encode())
         with open(os.path.join(_PKG, rel), "rb") as f:
             h.update(f.read())
     return h.hexdigest()[:20]
@@ -149,7 +155,7 @@ class Warehouse:
                 self._lazy[name] = self.build(name)
             return self._lazy[name]
         root = self.ensure_materialized()
-        key = (id(self.spark), f"{root}/{name}")
+        key = (self.spark._jsparkSession.sessionUUID(), f"{root}/{name}")
         df = _READ_CACHE.get(key)
         if df is None:
             # written folders are immutable (named by content), so one scan

@@ -27,11 +27,17 @@ def safe_timestamp(x) -> Column:
 def utc_wallclock(x) -> Column:
     """Parse ISO-8601 text (with or without offset) to a UTC wall-clock ``timestamp_ntz``.
 
-    The absolute instant is taken first (``timestamp``), then shown in UTC
-    independent of the session time zone.  Unparsable text gives NULL.
+    Text with an offset names an instant, whose microseconds since the epoch
+    are added to the epoch's wall clock; text without one is UTC.  Neither
+    way passes through the session time zone.  Unparsable text gives NULL.
     """
-    inst = c(x).try_cast("timestamp")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), inst.cast("timestamp_ntz"))
+    text = c(x).cast("string")
+    has_offset = text.rlike(r"(?i)(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2}){0,2})$") & text.contains(":")
+    seconds = F.unix_micros(text.try_cast("timestamp")).cast("decimal(24,6)") / F.lit(1000000).cast("decimal(7,0)")
+    zero = F.lit(0)
+    instant = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        zero, zero, zero, seconds.cast("decimal(18,6)"))
+    return F.when(has_offset, instant).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def part(fn, x) -> Column:

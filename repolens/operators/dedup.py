@@ -31,6 +31,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str = ORDER_CO
 
 
 def tie_breaks_for(df: DataFrame, keys: Sequence[str], order_col: str = ORDER_COLUMN) -> list[str]:
-    """All columns except the key and the ordering column, in schema order."""
+    """All columns except the key and the ordering column: the source's own
+    ``updated_at`` first (of two snapshots in one batch the later one wins),
+    then in schema order."""
     skip = set(keys) | {order_col}
-    return [f for f in df.columns if f not in skip]
+    rest = [f for f in df.columns if f not in skip]
+    return sorted(rest, key=lambda f: f != "updated_at")

@@ -101,7 +101,9 @@ def write_merged(spark: SparkSession, src: DataFrame, path: str, key: str, ts_co
     because dynamic overwrite leaves partitions without new rows alone.
     One writer at a time; partitions are replaced one by one, not atomically.
     """
-    src_m = with_event_month(src, ts_col)
+    # the delta is computed once; its keys must be unique, or the merge would write a key twice
+    src_m = with_event_month(src, ts_col).checkpoint(eager=True)
+    assert_unique_keys(src_m, key)
     if not sinks.exists(spark, path):
         for_month_write(src_m, key).write.mode("overwrite").partitionBy(EVENT_MONTH).parquet(path)
         return {"mode": "create"}

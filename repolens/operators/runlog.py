@@ -25,13 +25,15 @@ def results_from_metrics(metrics: DataFrame, entity: str, success: bool = True,
                          error: str | None = None, duration_ms: int | None = None) -> DataFrame:
     """RUN-01 from a per-repository ``load_metrics`` frame of one entity.
 
-    As in the source, "extracted" and "loaded" both carry the number of
-    rows handed to the loader, even when some rows were rejected."""
-    n = F.col("total_rows").cast("int")
+    "Extracted" is the number of rows handed to the loader.  "Loaded" is that
+    of the accepted rows for commits, reviews and languages; for repositories
+    and pull requests the source reports the length of the list instead."""
+    n = F.col("total_rows").cast("bigint")
+    loaded = n if entity in ("repositories", "pull_requests") else F.col("successful_rows").cast("bigint")
     return metrics.select(
         F.lit(entity).alias("entityType"),
         F.col("repo_full_name").alias("repoFullName"),
-        n.alias("recordsExtracted"), n.alias("recordsLoaded"),
+        n.alias("recordsExtracted"), loaded.alias("recordsLoaded"),
         F.lit(success).alias("success"),
         F.lit(error).cast("string").alias("errorMessage"),
         F.lit(duration_ms).cast("bigint").alias("durationMs"),

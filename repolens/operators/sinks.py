@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CLUSTER_KEYS, PARTITION_COLUMN, RAW_SCHEMAS
+from ..schemas import CLUSTER_KEYS, PARTITION_COLUMN, RAW_SCHEMAS, ROW_KEYS
 
 LAYERS = ("raw", "staging", "mart")
 
@@ -21,12 +21,12 @@ def with_partition_column(df: DataFrame) -> DataFrame:
 
 
 def clustered(df: DataFrame, table: str, partitions: int | None = None) -> DataFrame:
-    """SNK-02: range-partition by (day, cluster keys) and sort inside each
-    task, so every written file covers a narrow key range and parquet
-    min/max statistics prune scans filtering on the cluster keys.
-    ``repartitionByRange`` samples the keys, so a hot key is spread over
-    several ranges instead of one task."""
-    keys = [PARTITION_COLUMN] + CLUSTER_KEYS[table]
+    """SNK-02: range-partition by (day, cluster keys, row key) and sort inside
+    each task, so every written file covers a narrow key range and parquet
+    min/max statistics prune scans filtering on the cluster keys.  Equal
+    keys always share a range; the row key at the end is what cuts a hot
+    cluster key into several ranges."""
+    keys = [PARTITION_COLUMN] + CLUSTER_KEYS[table] + ROW_KEYS[table]
     out = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     return out.sortWithinPartitions(*keys)
 
@@ -37,6 +37,24 @@ def append_raw(df: DataFrame, root: str, table: str, partitions: int | None = No
     out.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(table_path(root, "raw", table))
 
 
+def append_rejected(bad: DataFrame, root: str, table: str) -> None:
+    """ING-07: rows that miss REQUIRED columns, with their ``errors``, go to
+    ``root/raw/_rejected/<table>`` (day partitions), not away."""
+    with_partition_column(bad).write.mode("append").partitionBy(PARTITION_COLUMN) \
+        .parquet(rejected_path(root, table))
+
+
+def rejected_path(root: str, table: str) -> str:
+    return table_path(root, "raw", f"_rejected/{table}")
+
+
+def read_rejected(spark: SparkSession, root: str, table: str) -> DataFrame:
+    schema = T.StructType([*RAW_SCHEMAS[table].fields, T.StructField("errors", T.ArrayType(T.StringType())),
+                           T.StructField(PARTITION_COLUMN, T.DateType())])
+    path = rejected_path(root, table)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def ensure_layers(spark: SparkSession, root: str) -> list[str]:
     """SNK-03: create the three layer folders if missing (idempotent)."""
     made = []

@@ -125,7 +125,9 @@ TOP_LANGUAGES = 5
 
 def languages_pivot(stg_languages: DataFrame, top_n: int = TOP_LANGUAGES) -> DataFrame:
     """AGG-07: per repository, bytes of each of the ``top_n`` languages with
-    most bytes overall (ties by name); column ``top{k}_bytes`` is the k-th.
+    most bytes overall (ties by name); column ``top{k}_bytes`` is the k-th,
+    ``other_bytes`` holds all further languages, so no repository and no byte
+    is left out.
 
     The pivot values are the ranks 1..top_n, known before the query, so no
     driver round trip is needed; the ranked list has ``top_n`` rows and is
@@ -135,10 +137,11 @@ def languages_pivot(stg_languages: DataFrame, top_n: int = TOP_LANGUAGES) -> Dat
     ranked = top.withColumn("rk", F.row_number().over(
         Window.orderBy(F.col("total").desc(), F.col("language_name").asc()))).select("language_name", "rk")
     j = stg_languages.select("repo_full_name", "language_name", "byte_count") \
-        .join(F.broadcast(ranked), "language_name", "inner")
+        .join(F.broadcast(ranked), "language_name", "left")
     # pivot on the rank by conditional sums: one shuffle with partial aggregation
     return j.groupBy("repo_full_name").agg(*[
-        F.sum(F.when(F.col("rk") == k, F.col("byte_count"))).alias(f"top{k}_bytes") for k in range(1, top_n + 1)])
+        F.sum(F.when(F.col("rk") == k, F.col("byte_count"))).alias(f"top{k}_bytes") for k in range(1, top_n + 1)],
+        F.sum(F.when(F.col("rk").isNull(), F.col("byte_count"))).alias("other_bytes"))
 
 
 def review_counts(fct_prs: DataFrame, fct_reviews: DataFrame) -> DataFrame:

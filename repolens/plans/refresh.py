@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as _dt
 import time
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +19,7 @@ from ..operators import ingest as ING
 from ..operators import merge as M
 from ..operators import runlog as RUN
 from ..operators import sinks
-from ..schemas import ENTITIES, FACT_EVENT_TS, FACT_KEY, RUN_LOG_SCHEMA
+from ..schemas import ENTITIES, FACT_EVENT_TS, FACT_KEY, RAW_SCHEMAS, RUN_LOG_SCHEMA
 from ..sources import landing as L
 from . import analytics, mart, staging
 
@@ -40,7 +39,7 @@ def _utcnow() -> _dt.datetime:
 
 
 def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
-               run_instant: _dt.datetime | None = None, reviews_need_prs: bool = False) -> DataFrame:
+               run_instant: _dt.datetime | None = None, reviews_need_prs: bool = True) -> DataFrame:
     """INC-06 / RUN-05: load every entity's landed JSON into the raw tables.
 
     * full=True ignores the watermarks (but still advances them).
@@ -51,8 +50,10 @@ def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
       run with a single ``infrastructure`` row.
     * A watermark advances to the run instant (taken before loading) only
       for entities with at least one successful step and no failure.
-    * reviews_need_prs=True fails the review step when the PR step failed
-      (the reference instead loads zero reviews and reports success).
+    * Rows that miss REQUIRED columns are appended with their reasons to
+      ``raw/_rejected/<table>``; "loaded" does not count them.
+    * The review step fails when the PR step failed, so its watermark stays;
+      reviews_need_prs=False loads zero reviews and reports success instead.
     Returns the run log (``RUN_LOG_SCHEMA``).
     """
     run_instant = run_instant or _utcnow()
@@ -64,7 +65,7 @@ def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
         wm_commits = None if full else INC.get_watermark(spark, root, "commits")
         wm_prs = None if full else INC.get_watermark(spark, root, "pull_requests")
     except Exception as e:  # setup failure stops the run
-        return RUN.result_rows(spark, [("infrastructure", None, 0, 0, False, str(e)[:1000], 0)])
+        return RUN.result_rows(spark, [("infrastructure", None, 0, 0, False, str(e), 0)])
 
     prs_in_scope: DataFrame | None = None
     repo_list: DataFrame | None = None
@@ -86,16 +87,20 @@ def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
                     df = df.limit(0)  # no PR list -> no reviews, as in the source
                 else:
                     df = INC.reviews_in_scope(df, prs_in_scope)
-            staged = ING.stamp(df, run_instant).persist(StorageLevel.MEMORY_AND_DISK)
-            ok, _bad = ING.split_valid(staged, table)
+            # the batch is written once to shared storage; appends and counts read it from there
+            staging_path = f"{root.rstrip('/')}/raw/_staging/{table}/run={run_instant.strftime('%Y%m%dT%H%M%S%f')}"
+            ING.stamp(df, run_instant).write.mode("overwrite").parquet(staging_path)
+            staged = spark.read.schema(RAW_SCHEMAS[table]).parquet(staging_path)
+            ok, bad = ING.split_valid(staged, table)
+            sinks.append_rejected(bad, root, table)
             sinks.append_raw(ok, root, table)
             by = "full_name" if entity == "repositories" else "repo_full_name"
             m = ING.load_metrics(staged.withColumnRenamed(by, "repo_full_name"), table, by=["repo_full_name"])
             if repo_list is not None and entity != "repositories":
                 # one result per repository of this run, zeros where nothing was loaded
-                m = m.join(repo_list, "repo_full_name", "full").na.fill(0, ["total_rows"])
+                m = m.join(repo_list, "repo_full_name", "full").na.fill(0, ["total_rows", "successful_rows"])
             if m.isEmpty():
-                m = spark.createDataFrame([(None, 0)], "repo_full_name string, total_rows bigint")
+                m = spark.createDataFrame([(None, 0, 0)], "repo_full_name string, total_rows bigint, successful_rows bigint")
             dur = int((time.monotonic() - t0) * 1000)
             # one result row per repository, written to the run log table (not collected)
             RUN.results_from_metrics(m, entity, True, None, dur).write.mode("append").parquet(log_path)
@@ -114,11 +119,11 @@ def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
             if entity == "pull_requests":
                 pr_failed = True
             dur = int((time.monotonic() - t0) * 1000)
-            RUN.result_rows(spark, [(entity, None, 0, 0, False, str(e)[:1000], dur)]) \
+            RUN.result_rows(spark, [(entity, None, 0, 0, False, str(e), dur)]) \
                 .write.mode("append").parquet(log_path)
         finally:
             if staged is not None:
-                staged.unpersist()
+                sinks.delete(spark, staging_path)
     results = spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path)
     # five rows at most: one per entity
     gate = {r["entityType"]: r["advance"] for r in INC.advanceable_entities(results).collect()}
@@ -146,7 +151,9 @@ def refresh_mart(spark: SparkSession, root: str, dim_start=mart.DEFAULT_START, d
     raw rows; otherwise only raw rows newer than the fact's high-water mark
     are staged (the mark is applied below the de-duplication and on the
     day partition column), and the result is merged into the touched
-    month partitions.  Facts are built in dependency order: reviews look
+    month partitions.  The mark is stored after a merge has ended, so a
+    merge that broke off half-way is done again in whole; an empty fact is
+    built from all raw rows.  Facts are built in dependency order: reviews look
     up the PR fact written in the same run.
     """
     raw = {t: sinks.read_raw(spark, root, t) for t in ENTITIES.values()}
@@ -168,18 +175,19 @@ def refresh_mart(spark: SparkSession, root: str, dim_start=mart.DEFAULT_START, d
 
     for name in ("fct_commits", "fct_pull_requests", "fct_reviews"):
         path = _path(root, "mart", name)
-        if full_refresh or not sinks.exists(spark, path):
+        # the mark stored after the last finished build or merge; what the fact holds may be half of one
+        mark = INC.get_watermark(spark, root, name) if sinks.exists(spark, path) else None
+        if full_refresh or mark is None:
             src = build(name, None)
             M.for_month_write(M.with_event_month(src, FACT_EVENT_TS[name]), FACT_KEY[name]).write.mode("overwrite") \
                 .option("partitionOverwriteMode", "static").partitionBy(M.EVENT_MONTH).parquet(path)
             report[name] = {"mode": "full"}
-            continue
+        else:
+            src = build(name, mark)
+            report[name] = M.write_merged(spark, src, path, FACT_KEY[name], FACT_EVENT_TS[name])
         state, mark = M.high_water_mark(read_table(spark, root, "mart", name))
-        if state == "empty":
-            report[name] = {"mode": "skip-empty-target"}  # the reference loads nothing here
-            continue
-        src = build(name, mark)
-        report[name] = M.write_merged(spark, src, path, FACT_KEY[name], FACT_EVENT_TS[name])
+        if state == "mark":
+            INC.set_watermarks(spark, root, {name: mark})
     if aggregates:
         refresh_aggregates(spark, root)
         report["aggregates"] = {"mode": "full"}

@@ -94,8 +94,9 @@ _PIVOT_COLS = ",\n       ".join(
 
 @register("agg_languages_pivot", O.sql(f"""
 SELECT repo_full_name,
-       {_PIVOT_COLS}
-FROM stg_languages s JOIN (
+       {_PIVOT_COLS},
+       CAST(sum(CASE WHEN rk IS NULL THEN byte_count END) AS BIGINT) AS other_bytes
+FROM stg_languages s LEFT JOIN (
   SELECT language_name, row_number() OVER (ORDER BY total DESC, language_name) AS rk
   FROM (SELECT language_name, sum(byte_count) AS total FROM stg_languages GROUP BY 1)
   QUALIFY rk <= {A.TOP_LANGUAGES}) t USING (language_name)

@@ -171,8 +171,8 @@ _REPO_COL = {t: ("full_name" if t == "raw_repositories" else "repo_full_name") f
 
 
 O.cte("run_log", "\nUNION ALL\n".join(
-    f"SELECT '{e}' AS entityType, {_REPO_COL[t]} AS repoFullName, CAST(count(*) AS INTEGER) AS recordsExtracted, "
-    f"CAST(count(*) AS INTEGER) AS recordsLoaded, true AS success, CAST(NULL AS VARCHAR) AS errorMessage, "
+    f"SELECT '{e}' AS entityType, {_REPO_COL[t]} AS repoFullName, CAST(count(*) AS BIGINT) AS recordsExtracted, "
+    f"CAST(count(*) AS BIGINT) AS recordsLoaded, true AS success, CAST(NULL AS VARCHAR) AS errorMessage, "
     f"CAST(NULL AS BIGINT) AS durationMs FROM {t} GROUP BY {_REPO_COL[t]}" for e, t in ENTITIES.items()),
     *ENTITIES.values())
 

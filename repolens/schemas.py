@@ -55,6 +55,16 @@ CLUSTER_KEYS: dict[str, list[str]] = {
     "raw_languages": ["repo_full_name"],
 }
 
+# Columns that tell the rows of one cluster key apart: last in the write
+# order, so a hot cluster key is cut into several ranges.
+ROW_KEYS: dict[str, list[str]] = {
+    "raw_commits": ["sha"],
+    "raw_pull_requests": ["number"],
+    "raw_reviews": ["id"],
+    "raw_repositories": ["id"],
+    "raw_languages": ["language_name"],
+}
+
 # Entity name -> raw table.
 ENTITIES: dict[str, str] = {
     "repositories": "raw_repositories",
@@ -79,8 +89,8 @@ WATERMARK_SCHEMA = T.StructType([
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("entityType", S, True),
     T.StructField("repoFullName", S, True),
-    T.StructField("recordsExtracted", T.IntegerType(), True),
-    T.StructField("recordsLoaded", T.IntegerType(), True),
+    T.StructField("recordsExtracted", L, True),
+    T.StructField("recordsLoaded", L, True),
     T.StructField("success", B, True),
     T.StructField("errorMessage", S, True),
     T.StructField("durationMs", L, True),

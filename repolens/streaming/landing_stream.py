@@ -14,6 +14,7 @@ repeats do not reach the mart.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,18 +57,28 @@ def _source(spark: SparkSession, landing: str, entity: str, max_files: int | Non
     return df.withColumnRenamed(REPO_PARTITION, "repo_full_name") if entity != "repositories" else df
 
 
+def default_checkpoint(spark: SparkSession, landing: str, root: str, entity: str) -> str:
+    """A folder of the shared ``spark.checkpoint.dir`` itself (not of the
+    sub-folder Spark makes for each application), named by source and target:
+    a restarted application goes on where the last one ended."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or checkpoint_root(spark)
+    name = hashlib.sha256(f"{landing.rstrip('/')}|{root.rstrip('/')}".encode()).hexdigest()[:16]
+    return f"{base.rstrip('/')}/repolens-landing/{name}/{entity}"
+
+
 def start_landing_stream(spark: SparkSession, landing: str, root: str, entity: str,
                          checkpoint_location: str | None = None, available_now: bool = True,
                          max_files_per_trigger: int | None = None,
                          processing_time: str = "1 minute") -> StreamingQuery:
     """Start loading ``<landing>/<entity>`` into ``<root>/raw/<table>``."""
     table = ENTITIES[entity]
-    ckpt = checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/landing/{entity}"
+    ckpt = checkpoint_location or default_checkpoint(spark, landing, root, entity)
     flat = _FLATTEN[entity](_source(spark, landing, entity, max_files_per_trigger))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        ok, _bad = ING.split_valid(ING.stamp(batch, now), table)
+        ok, bad = ING.split_valid(ING.stamp(batch, now), table)
+        sinks.append_rejected(bad, root, table)
         sinks.append_raw(ok, root, table)
 
     w = flat.writeStream.foreachBatch(load_batch).option("checkpointLocation", ckpt) \
@@ -77,11 +88,9 @@ def start_landing_stream(spark: SparkSession, landing: str, root: str, entity: s
 
 
 def load_landed(spark: SparkSession, landing: str, root: str, entities=tuple(ENTITIES),
-                checkpoint_root_dir: str | None = None, timeout_s: int = 600) -> None:
+                checkpoint_root_dir: str | None = None) -> None:
     """Run an ``availableNow`` stream per entity to completion."""
     for e in entities:
         ck = f"{checkpoint_root_dir.rstrip('/')}/{e}" if checkpoint_root_dir else None
         q = start_landing_stream(spark, landing, root, e, ck)
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise q.exception()
+        q.awaitTermination()      # however long it takes; raises if the stream failed

@@ -105,12 +105,12 @@ def test_failed_entity_does_not_stop_others(spark, workdir):
     log = refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 12, 2))
     res = {r.entityType: r.success for r in log.collect()}
     assert res["pull_requests"] is False and res["commits"] is True
-    # reviews succeed with zero rows (no PR list), as in the reference
-    assert res["reviews"] is True
+    # without the PR list reviews are not loaded, which is a failure: their watermark stays
+    assert res["reviews"] is False and INC.get_watermark(spark, root, "reviews") is None
     assert INC.get_watermark(spark, root, "pull_requests") is None
     assert INC.get_watermark(spark, root, "commits") == dt.datetime(2024, 5, 12, 2)
-    log2 = refresh.run_ingest(spark, landing, f"{workdir}/wh2", reviews_need_prs=True)
-    assert {r.entityType: r.success for r in log2.collect()}["reviews"] is False
+    log2 = refresh.run_ingest(spark, landing, f"{workdir}/wh2", reviews_need_prs=False)
+    assert {r.entityType: r.success for r in log2.collect()}["reviews"] is True   # zero rows, reported as success
 
 
 def test_full_mode_ignores_watermarks(spark, workdir):
