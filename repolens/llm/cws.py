@@ -95,15 +95,17 @@ def range_cuts(ids: DataFrame, rows_per_range: int) -> tuple[list[int], int | No
     return sorted({c for c in row["cuts"] if c > row["least"]}), row["least"]
 
 
-def _range_of(ord_: Column, cuts: list[int]) -> Column:
-    """Number of cut points up to ``ord_``, by binary search."""
-    if not cuts:
-        return F.lit(0)
-    bits = len(cuts).bit_length()
-    held = F.expr(f"cast(split('{','.join(map(str, cuts))}', ',') as array<bigint>)")
-    steps = F.array(*[F.lit(1 << b) for b in range(bits - 1, -1, -1)])
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        F.coalesce(F.get(held, at + step - 1) <= ord_, F.lit(False)), at + step).otherwise(at))
+def _with_range(rows: DataFrame, cuts: list[int]) -> DataFrame:
+    """``rows`` with the number of cut points up to ``ord``, by binary search
+    (a projection a step; lambda variables would keep Spark from reading one
+    exchange twice)."""
+    rows = rows.withColumn("at", F.lit(0))
+    held = F.expr(f"cast(split('{','.join(map(str, cuts))}', ',') as array<bigint>)") if cuts else None
+    for bit in range(len(cuts).bit_length() - 1, -1, -1):
+        step = 1 << bit
+        reached = F.coalesce(F.get(held, F.col("at") + (step - 1)) <= F.col("ord"), F.lit(False))
+        rows = rows.withColumn("at", F.when(reached, F.col("at") + step).otherwise(F.col("at")))
+    return rows
 
 
 def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
@@ -112,7 +114,7 @@ def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     src = src.withColumn("ord", F.coalesce("doc_id", F.lit(_FIRST)))
     cuts, least = range_cuts(src.select("ord"), rows_per_range)
-    at, last = _range_of(F.col("ord"), cuts), len(cuts)
+    last = len(cuts)
     firsts = F.expr(f"array_contains(cast(split('{','.join(map(str, cuts))}', ',') as array<bigint>), ord)") \
         if cuts else F.lit(False)
 
@@ -122,10 +124,10 @@ def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
     places = (F.when(F.col("ord") == F.lit(least), F.array(place(F.col("at"), False), place(F.lit(last), True)))
               .when(firsts, F.array(place(F.col("at"), False), place(F.col("at") - 1, True)))
               .otherwise(F.array(place(F.col("at"), False))))
-    rows = src.withColumn("at", at).select("doc_id", "text", "ord", F.explode(places).alias("p")).select(
+    rows = _with_range(src, cuts).select("doc_id", "text", "ord", F.explode(places).alias("p")).select(
         "p.range", "p.guest", "doc_id", "ord", "text")
-    order = Window.partitionBy("range").orderBy("guest", "ord", F.xxhash64("text"))
-    # as many tasks as there are ranges for, at most one for 2000 documents: term counts stay in memory
+    # all columns take part in the order, so that every use of these rows reads one and the same exchange
+    order = Window.partitionBy("range").orderBy("guest", "ord", "doc_id", F.xxhash64("text"))
     return rows.select("range", "guest", "doc_id", "text", F.row_number().over(order).alias("row"),
                        F.lead("text").over(order).alias("next_text"))
 
