@@ -108,15 +108,25 @@ class Vocabulary:
         return [t for t in ids if t >= 0]
 
 
-_BUILT: dict[tuple[str, Any], Any] = {}
+_BUILT: dict[str, tuple[Any, Any]] = {}
 
 
 def on_worker(kind: str, broadcast, build):
-    """``build(broadcast.value)``, made once per worker process and broadcast."""
-    key = (kind, broadcast.id if hasattr(broadcast, "id") else id(broadcast))
-    if key not in _BUILT:
-        _BUILT[key] = build(broadcast.value)
-    return _BUILT[key]
+    """``build(broadcast.value)``, made once per worker process and broadcast.
+    Only the last one of a kind is kept: a worker outlives many jobs."""
+    value = broadcast.value
+    known = _BUILT.get(kind)
+    if known is None or known[0] is not value:
+        _BUILT.pop(kind, None)
+        known = _BUILT[kind] = (value, build(value))
+    return known[1]
+
+
+def slices(batch, rows: int = 256):
+    """A batch in small parts, so that only few texts are Python objects at
+    a time."""
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
 
 
 class Memo(dict):

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe_vocab import slices
 from .stored import stored
 
 MASK_BITS = 10            # a boundary every 1024 bytes on average
@@ -72,7 +73,7 @@ def chunk_id(chunk: bytes, key: int, size: int = ID_BYTES) -> bytes:
 
 def _recipes(key: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1024)):
             recipes, shas, lengths = [], [], []
             for text in batch.column("text").to_pylist():
                 data = normalise(text)
@@ -91,7 +92,7 @@ def _recipes(key: int, size: int):
 
 def _chunks(key: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1024)):
             seen: dict[tuple[bytes, bytes], None] = {}    # distinct chunks of one batch
             for text in batch.column("text").to_pylist():
                 data = normalise(text)

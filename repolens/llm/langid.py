@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe_vocab import on_worker
+from .bpe_vocab import on_worker, slices
 from .toxicity import held_out
 
 BITS = 13
@@ -199,7 +199,7 @@ def identify(docs: DataFrame, model: dict[str, Any] | None) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             predictor = on_worker("langid", shared, Predictor)
             for batch in batches:
-                done = predictor.predict(batch.column("text").to_pylist())
+                done = [x for part in slices(batch) for x in predictor.predict(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array([v for v, _ in done], pa.string()),
                      pa.array([s for _, s in done], pa.float64())], ["doc_id", "lang_pred", "score"])

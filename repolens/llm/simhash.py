@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bpe_vocab import slices
 from .components import connected_components
 from .stored import stored
 
@@ -67,7 +68,8 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     bits as a long)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
+            fps = np.array([fingerprint(t, shingle) for part in slices(batch)
+                            for t in part.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(fps.view(np.int64))],
                                              ["doc_id", "row", "fp"])
 

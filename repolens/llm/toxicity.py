@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_vocab import on_worker
+from .bpe_vocab import on_worker, slices
 
 WINDOW, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
@@ -42,7 +42,7 @@ TRAIN_TOXIC, TRAIN_CLEAN = 600, 1400
 ALL_WINDOWS_STEPS, HIGHEST_STEPS, RATE = 100, 60, 0.01      # at least, in whole rounds over the rows
 LEAST_BATCH, BATCH = 32, 256
 DECAY = 1.0
-KNOWN_WORDS = 150_000     # words whose inputs a worker keeps
+KNOWN_WORDS = 100_000     # words whose inputs a worker keeps
 
 words_of = re.compile(r"\w+").findall
 
@@ -327,7 +327,7 @@ def score(docs: DataFrame, model: dict[str, Any] | None) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scorer = on_worker("toxicity", shared, Scorer)
             for batch in batches:
-                done = [scorer.scores(g) for g in _groups(batch.column("text").to_pylist())]
+                done = [scorer.scores(g) for part in slices(batch) for g in _groups(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(np.concatenate([np.zeros(0), *done]))], ["doc_id", "score"])
 
@@ -346,7 +346,8 @@ def drop_toxic(docs: DataFrame, model: dict[str, Any] | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = on_worker("toxicity", shared, Scorer)
         for batch in batches:
-            done = [scorer.scores(g) for g in _groups(batch.column("text").to_pylist())]
-            yield batch.filter(pa.array(np.concatenate([np.zeros(0), *done]) < 0.5))
+            for part in slices(batch):
+                done = [scorer.scores(g) for g in _groups(part.column("text").to_pylist())]
+                yield part.filter(pa.array(np.concatenate([np.zeros(0), *done]) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
