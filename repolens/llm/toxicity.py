@@ -8,8 +8,8 @@ windows of ``WINDOW`` words, one every ``STRIDE``, over the whole text; the
 score of a text is that of its highest window.
 
 Training fits on at most ``TRAIN_TOXIC`` + ``TRAIN_CLEAN`` labelled rows
-(those of least hash of doc_id), whole texts, on the driver: the bound is
-the same at every size.  First all windows carry their text's label, then
+(those of least hash of doc_id; of rows that repeat a doc_id the least text),
+whole texts, on the driver: the bound is the same at every size.  First all windows carry their text's label, then
 only the highest one does.  Nothing but text enters a score.
 
 Defined results: a null text is empty; a text without words is scored as one
@@ -249,7 +249,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic: int, most: int) ->
            .filter(~held_out(F.col("doc_id")) & (F.col("toxic") == toxic))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     # at most ``most`` ids
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
+    return (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict[str, Any] | None:

@@ -78,3 +78,25 @@ def test_language_on_odd_rows(docs, no_docs):
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} == {"und"}
     one = langid.train(["the words", "and more"], ["en", "en"])
     assert langid.Predictor(one).predict(["anything", "1 2"]) == [("en", 1.0), ("und", 0.0)]
+
+
+def test_rows_to_learn_from_stay_bounded(spark, monkeypatch):
+    """A language that holds nearly all rows, ids that repeat: no more than the
+    stated rows are learnt from, those of least hash."""
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda texts, langs: seen.update(texts=texts, langs=langs))
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"),
+        F.when(F.col("id") % 100 == 0, "fr").otherwise("en").alias("lang"))
+    again = docs.filter("doc_id < 50").withColumn("text", F.lit("zzz"))
+    for _ in range(5):
+        docs = docs.unionByName(again)
+    langid.fit(docs)
+    usable = docs.filter(~langid.held_out(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
+    for lang in ("en", "fr"):
+        want = [f"text {r.doc_id}" for r in usable.filter(F.col("lang") == lang).orderBy("h").limit(langid.TRAIN_PER_LANGUAGE).collect()]
+        assert sorted(want) == sorted(t for t, x in zip(seen["texts"], seen["langs"]) if x == lang)
+
+    labels = spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    rows = toxicity.training_rows(docs, labels, 1, 10).collect()
+    assert len(rows) == 10 == len({r.doc_id for r in rows}) and all(r.text == f"text {r.doc_id}" for r in rows)
