@@ -5,8 +5,8 @@ ignored by ``unique``, ``accepted_values`` and ``relationships`` as in
 dbt.  ``run_checks`` evaluates a whole suite as one plan: all row-level
 checks of a model (not_null, accepted_values, range) are folded into a
 single aggregation with one ``count_if`` per check, so each model is
-scanned once for them; ``unique`` is a grouped count and
-``relationships`` an anti join, each aggregated to one number.
+scanned once for them; ``unique`` and ``relationships`` are grouped
+counts, each aggregated to one number.
 """
 
 from __future__ import annotations
@@ -204,16 +204,20 @@ def _all_unique(spark: SparkSession, models: dict[str, DataFrame], unique: dict[
     return _per_check(spark, dup, checks)
 
 
-def _fk_group(spark: SparkSession, models: dict[str, DataFrame], parent: str, field: str,
-              checks: list[Check]) -> DataFrame:
-    """All relationships checks against one parent key with one anti join:
-    the children's non-NULL keys are tagged with their check id and
-    unioned; orphans are counted per check (0 when none)."""
-    keys = _union_all([models[ch.model].selectExpr(f"{i} AS i", f"{_q(ch.column)} AS k").filter("k IS NOT NULL")
-                       for i, ch in enumerate(checks)])
-    p = models[parent].selectExpr(f"{_q(field)} AS k").filter("k IS NOT NULL")
-    orphans = keys.join(p, "k", "left_anti").selectExpr("i", "CAST(1 AS BIGINT) AS failures")
-    return _per_check(spark, orphans, checks)
+def _fk_group(models: dict[str, DataFrame], parent: str, field: str, checks: list[Check]) -> DataFrame:
+    """All relationships checks against one parent key with one shuffle and
+    no join: children emit (check id, key), the parent (-1, key); counts per
+    key combine before the shuffle, so a common key is one row a task.  The
+    counts of keys that the parent lacks add up to the failures."""
+    by_model: dict[str, list[str]] = {parent: [f"named_struct('i', -1, 'k', {_q(field)})"]}
+    for i, ch in enumerate(checks):
+        by_model.setdefault(ch.model, []).append(f"named_struct('i', {i}, 'k', {_q(ch.column)})")
+    keys = _union_all([models[m].selectExpr(f"inline(array({', '.join(pairs)}))") for m, pairs in by_model.items()])
+    n = range(len(checks))
+    per_key = (keys.filter("k IS NOT NULL").groupBy("k")
+               .agg(F.expr("bool_or(i = -1)").alias("known"), *[F.expr(f"count_if(i = {i})").alias(f"c{i}") for i in n]))
+    sums = per_key.filter("NOT known").agg(*[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in n])
+    return sums.selectExpr(f"inline(array({', '.join(_sql_row(ch, f'c{i}') for i, ch in enumerate(checks))}))")
 
 
 def _per_check(spark: SparkSession, failing: DataFrame, checks: list[Check]) -> DataFrame:
@@ -238,8 +242,8 @@ def _union_all(parts: list[DataFrame]) -> DataFrame:
 def run_checks(spark: SparkSession, models: dict[str, DataFrame], suite: list[Check], now=None) -> DataFrame:
     """DQ-08: evaluate a suite to one table (check_name, kind, model,
     column_name, failures, status).  Per model: one aggregation for all
-    row-level and age checks, one grouped count for all unique checks;
-    each relationships check is an anti join.  Nothing is collected: the
+    row-level and age checks, one grouped count for all unique checks and
+    one per parent for relationships.  Nothing is collected: the
     result is one plan computed by a single action."""
     scalar: dict[str, list[Check]] = {}
     unique: dict[str, list[Check]] = {}
@@ -256,7 +260,7 @@ def run_checks(spark: SparkSession, models: dict[str, DataFrame], suite: list[Ch
         if ch.kind == "relationships":
             by_parent.setdefault((ch.to, ch.field), []).append(ch)
     for (parent, field), cs in by_parent.items():
-        parts.append(_fk_group(spark, models, parent, field, cs))
+        parts.append(_fk_group(models, parent, field, cs))
     if not parts:
         return spark.createDataFrame([], _OUT)
     return _union_all([p.select(*_COLS) for p in parts])

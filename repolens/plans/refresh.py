@@ -9,6 +9,7 @@ a lost executor recomputes at most one layer.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ _FLATTEN = {
     "languages": lambda df: ING.to_raw_languages(df),
 }
 
+_LOG = logging.getLogger(__name__)
+
 ORDER = ("repositories", "commits", "pull_requests", "reviews", "languages")
 
 
@@ -128,7 +131,10 @@ def run_ingest(spark: SparkSession, landing: str, root: str, full: bool = False,
     # five rows at most: one per entity
     gate = {r["entityType"]: r["advance"] for r in INC.advanceable_entities(results).collect()}
     marks = {e: run_instant for e in ORDER if gate.get(e)}
-    INC.set_watermarks(spark, root, marks)
+    try:
+        INC.set_watermarks(spark, root, marks)
+    except Exception:   # the next run loads from the old marks again; this run's results stand
+        _LOG.exception("watermarks of run %s were not stored", run_instant)
     return results
 
 

@@ -15,7 +15,7 @@ from .operators import quality as Q
 from .operators import runlog as RUN
 from .operators.ingest import load_metrics
 from .plans import mart, staging
-from .schemas import ENTITIES, REQUIRED
+from .schemas import ENTITIES, FACT_EVENT_TS, FACT_KEY, REQUIRED
 
 # Parameters of the registered incremental scenario (fixed so results are reproducible).
 COMMITS_SINCE = "2024-01-15 12:00:00"
@@ -91,44 +91,69 @@ def inc_reviews_in_scope(w):
 
 
 # ------------------------------------------------------------------ INC-08/09/10
-for _t in ("raw_commits", "raw_pull_requests"):
-    O.cte(f"{_t}_b1", f"SELECT * FROM {_t} WHERE ingestion_timestamp <= TIMESTAMP '{BATCH1_CUTOFF}'", _t)
-O.variant("stg_commits_b1", "stg_commits", {"raw_commits": "raw_commits_b1"})
-O.variant("fct_commits_b1", "fct_commits", {"stg_commits": "stg_commits_b1"})
-O.variant("stg_pull_requests_b1", "stg_pull_requests", {"raw_pull_requests": "raw_pull_requests_b1"})
-O.variant("fct_pull_requests_b1", "fct_pull_requests", {"stg_pull_requests": "stg_pull_requests_b1"})
-O.cte("stg_commits_new", """
-SELECT * FROM stg_commits WHERE ingestion_timestamp > (SELECT max(ingestion_timestamp) FROM fct_commits_b1)""",
-      "stg_commits", "fct_commits_b1")
-O.variant("fct_commits_new", "fct_commits", {"stg_commits": "stg_commits_new"})
-O.cte("stg_pull_requests_new", """
-SELECT * FROM stg_pull_requests
-WHERE ingestion_timestamp > (SELECT max(ingestion_timestamp) FROM fct_pull_requests_b1)""",
-      "stg_pull_requests", "fct_pull_requests_b1")
-O.variant("fct_pull_requests_new", "fct_pull_requests", {"stg_pull_requests": "stg_pull_requests_new"})
-
-
-def _first_batch(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col("ingestion_timestamp") <= F.lit(BATCH1_CUTOFF).cast("timestamp_ntz"))
-
-
-def _commits_target(w):
-    return mart.fct_commits(staging.stg_commits(_first_batch(w.raw_commits)), w.dim_repository, w.dim_date)
-
-
-def _prs_target(w):
-    return mart.fct_pull_requests(staging.stg_pull_requests(_first_batch(w.raw_pull_requests)),
-                                  w.dim_repository, w.dim_date)
-
-
-@register("inc_newer_than_target", O.select_all("stg_commits_new"))
-def inc_newer_than_target(w):
-    """Staged commits newer than the first load's high-water mark; the mark
-    is applied below the de-duplication (equivalent, and it prunes)."""
-    state, mark = M.high_water_mark(_commits_target(w))
-    if state != "mark":
-        return M.newer_than_target(w.stg_commits, _commits_target(w))
-    return staging.stg_commits(w.table("raw_commits", partitioned=True), since=mark)
+# fact -> (staging model, raw table, merge key, event time)
+_FACTS = {f: (f.replace("fct_", "stg_"), f.replace("fct_", "raw_"), FACT_KEY[f], FACT_EVENT_TS[f])
+          for f in ("fct_commits", "fct_pull_requests", "fct_reviews")}
+
+# the target (rows of the first load only), the newer staged rows, their facts, and the facts of the backfilled days
+for _f, (_s, _r, _k, _ts) in _FACTS.items():
+    O.cte(f"{_r}_b1", f"SELECT * FROM {_r} WHERE ingestion_timestamp <= TIMESTAMP '{BATCH1_CUTOFF}'", _r)
+    O.variant(f"{_s}_b1", _s, {_r: f"{_r}_b1"})
+    O.variant(f"{_f}_b1", _f, {_s: f"{_s}_b1"})
+    O.cte(f"{_s}_new", f"""
+SELECT * FROM {_s} WHERE ingestion_timestamp > (SELECT max(ingestion_timestamp) FROM {_f}_b1)""", _s, f"{_f}_b1")
+    O.variant(f"{_f}_new", _f, {_s: f"{_s}_new"})
+    O.cte(f"{_f}_days", f"""
+SELECT * FROM {_f} WHERE CAST({_ts} AS DATE) BETWEEN DATE '{BACKFILL_FROM}' AND DATE '{BACKFILL_TO}'""", _f)
+
+
+def _fact(w, name: str, raw: DataFrame, since=None) -> DataFrame:
+    """The fact ``name`` built from the rows of ``raw`` newer than ``since``."""
+    stg = _FACTS[name][0]
+    more = [w.fct_pull_requests] if name == "fct_reviews" else []
+    return getattr(mart, name)(getattr(staging, stg)(raw, since), w.dim_repository, w.dim_date, *more)
+
+
+def _first_batch(w, name: str) -> DataFrame:
+    """Raw rows of the first load."""
+    return w.table(_FACTS[name][1], partitioned=True).filter(
+        F.col("ingestion_timestamp") <= F.lit(BATCH1_CUTOFF).cast("timestamp_ntz"))
+
+
+def _mark(w, name: str):
+    """High-water mark of the first load: staging keeps the newest row of
+    each key, so the fact's newest row is the newest raw row, and one narrow
+    aggregate over the raw rows gives it without building the fact."""
+    return M.high_water_mark(_first_batch(w, name))
+
+
+def newer_than_target(w, name: str) -> DataFrame:
+    """Staged rows newer than the first load's mark; the mark is applied
+    below the de-duplication (equivalent, and it prunes)."""
+    stg, raw, _, _ = _FACTS[name]
+    state, mark = _mark(w, name)
+    staged = getattr(staging, stg)(w.table(raw, partitioned=True), since=mark)
+    return staged if state == "mark" else staged.limit(0)   # an empty target takes nothing, as in the source
+
+
+def merge_newer(w, name: str) -> DataFrame:
+    """The first load's fact, merged with the facts of newer raw rows."""
+    raw = w.table(_FACTS[name][1], partitioned=True)
+    state, mark = _mark(w, name)
+    src = _fact(w, name, raw, mark)
+    return M.merge_into(_fact(w, name, _first_batch(w, name)), src if state == "mark" else src.limit(0),
+                        _FACTS[name][2])
+
+
+def backfill_days(w, name: str) -> DataFrame:
+    """The first load's fact, its backfilled days replaced by the whole
+    history's; only their months are read."""
+    _, _, key, ts = _FACTS[name]
+    months = F.col(M.EVENT_MONTH).between(BACKFILL_FROM[:7], BACKFILL_TO[:7])
+    whole = w.table(name, partitioned=True)
+    if M.EVENT_MONTH in whole.columns:
+        whole = whole.filter(months).drop(M.EVENT_MONTH)
+    return M.backfill(_fact(w, name, _first_batch(w, name)), whole, key, ts, BACKFILL_FROM, BACKFILL_TO)
 
 
 def _merge_sql(target: str, src: str, key: str) -> str:
@@ -137,33 +162,12 @@ SELECT * FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {src} s WHERE s.{key} =
 UNION ALL SELECT * FROM {src}""", target, src)
 
 
-@register("inc_merge_commits", _merge_sql("fct_commits_b1", "fct_commits_new", "commit_sha"))
-def inc_merge_commits(w):
-    target = _commits_target(w)
-    _, mark = M.high_water_mark(target)
-    src = mart.fct_commits(staging.stg_commits(w.table("raw_commits", partitioned=True), since=mark),
-                           w.dim_repository, w.dim_date)
-    return M.merge_into(target, src, "commit_sha")
-
-
-@register("inc_merge_pull_requests", _merge_sql("fct_pull_requests_b1", "fct_pull_requests_new", "pr_key"))
-def inc_merge_pull_requests(w):
-    target = _prs_target(w)
-    _, mark = M.high_water_mark(target)
-    src = mart.fct_pull_requests(staging.stg_pull_requests(w.table("raw_pull_requests", partitioned=True),
-                                                           since=mark),
-                                 w.dim_repository, w.dim_date)
-    return M.merge_into(target, src, "pr_key")
-
-
-O.cte("prs_backfilled", f"""
-SELECT * FROM fct_pull_requests
-WHERE CAST(created_at AS DATE) BETWEEN DATE '{BACKFILL_FROM}' AND DATE '{BACKFILL_TO}'""", "fct_pull_requests")
-
-
-@register("inc_backfill_pull_requests", _merge_sql("fct_pull_requests_b1", "prs_backfilled", "pr_key"))
-def inc_backfill_pull_requests(w):
-    return M.backfill(_prs_target(w), w.fct_pull_requests, "pr_key", "created_at", BACKFILL_FROM, BACKFILL_TO)
+for _f, (_s, _r, _k, _ts) in _FACTS.items():
+    _e = _f.replace("fct_", "")
+    register("inc_newer_than_target" + ("" if _e == "commits" else f"_{_e}"), O.select_all(f"{_s}_new"))(
+        lambda w, _n=_f: newer_than_target(w, _n))
+    register(f"inc_merge_{_e}", _merge_sql(f"{_f}_b1", f"{_f}_new", _k))(lambda w, _n=_f: merge_newer(w, _n))
+    register(f"inc_backfill_{_e}", _merge_sql(f"{_f}_b1", f"{_f}_days", _k))(lambda w, _n=_f: backfill_days(w, _n))
 
 
 # ------------------------------------------------------------------ run log (RUN-01..04, INC-07, DQ-10)

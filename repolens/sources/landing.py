@@ -18,7 +18,7 @@ An explicit schema ignores unknown fields and gives NULL for missing ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,14 +73,21 @@ def read_reviews_json(spark: SparkSession, landing: str) -> DataFrame:
         .withColumnRenamed(REPO_PARTITION, "repo_full_name")
 
 
+def language_map(body: Column) -> Column:
+    """language -> bytes of a body; an empty body or ``null`` is an empty map,
+    a malformed one fails the step (as a malformed page does)."""
+    parsed = F.from_json(body, T.MapType(T.StringType(), T.LongType()), {"mode": "FAILFAST"})
+    given = ~F.trim(F.regexp_replace(body, r"\s+", " ")).isin("", "null")
+    return F.coalesce(F.when(given, parsed), F.create_map().cast("map<string,bigint>"))
+
+
 def read_languages_json(spark: SparkSession, landing: str) -> DataFrame:
     """SRC-05: one object per repository with dynamic keys (language ->
-    bytes), parsed as a map; a missing or empty body is an empty map."""
+    bytes), parsed as a map."""
     path = _entity_dir(landing, "languages")
     raw = (spark.read.option("wholetext", True).option("basePath", path).text(path))
-    m = F.from_json(F.col("value"), T.MapType(T.StringType(), T.LongType()))
     return raw.select(F.col(REPO_PARTITION).cast("string").alias("repo_full_name"),
-                      F.coalesce(m, F.create_map().cast("map<string,bigint>")).alias("languages"))
+                      language_map(F.col("value")).alias("languages"))
 
 
 READERS = {

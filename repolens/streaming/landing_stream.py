@@ -25,7 +25,7 @@ from ..operators import ingest as ING
 from ..operators import sinks
 from ..schemas import ENTITIES, JSON_SCHEMAS
 from ..session import checkpoint_root
-from ..sources.landing import REPO_PARTITION
+from ..sources.landing import REPO_PARTITION, language_map
 
 _FLATTEN = {
     "repositories": ING.to_raw_repositories,
@@ -45,9 +45,7 @@ def _source(spark: SparkSession, landing: str, entity: str, max_files: int | Non
         schema = T.StructType([T.StructField("value", T.StringType()),
                                T.StructField(REPO_PARTITION, T.StringType())])
         raw = r.schema(schema).option("wholetext", True).text(path)
-        m = F.from_json(F.col("value"), T.MapType(T.StringType(), T.LongType()))
-        return raw.select(F.col(REPO_PARTITION).alias("repo_full_name"),
-                          F.coalesce(m, F.create_map().cast("map<string,bigint>")).alias("languages"))
+        return raw.select(F.col(REPO_PARTITION).alias("repo_full_name"), language_map(F.col("value")).alias("languages"))
     schema = T.StructType(list(JSON_SCHEMAS[entity].fields))
     if entity != "repositories":
         schema = schema.add(REPO_PARTITION, T.StringType())

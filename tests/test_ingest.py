@@ -1,6 +1,7 @@
 import datetime as dt
 
 
+import pytest
 from repolens.operators import ingest as ING
 from repolens.sources import landing as L
 from tests.jsonland import commit, pull, repository, review, write_page
@@ -104,3 +105,9 @@ def test_multiple_errors_per_row_count_once_as_row(spark):
     df = spark.createDataFrame([(None, None)], "sha string, ingestion_timestamp timestamp_ntz")
     m = ING.load_metrics(df, "raw_commits").collect()[0]
     assert (m.total_rows, m.successful_rows, m.failed_rows, m.error_count) == (1, 0, 1, 2)
+
+
+def test_malformed_language_body_fails(spark, workdir):
+    write_page(workdir, "languages", None, repo="o/a", raw_text='{"Java": 1')
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        ING.to_raw_languages(L.read_languages_json(spark, workdir)).collect()

@@ -56,3 +56,14 @@ def test_coverage_and_success_rate(spark):
                                  "run_date date, success boolean")
     r = Q.success_rate(runs, "2024-01-30").collect()[0]
     assert (r.runs, r.successful_runs, r.meets_target) == (30, 29, True)
+
+
+def test_relationships_counted_without_a_join(spark):
+    child = spark.createDataFrame([(1, 7), (1, None), (2, 8), (9, 9), (9, 9), (None, 7)], "a int, b bigint")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,), (8,)], "k bigint")
+    suite = [Q.Check("relationships", "child", c, to="parent", field="k") for c in ("a", "b")]
+    df = Q.run_checks(spark, {"child": child, "parent": parent}, suite)
+    assert {r.column_name: (r.failures, r.status) for r in df.collect()} == {"a": (2, "fail"), "b": (4, "fail")}   # b: 7, 9, 9, 7
+    assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+    empty = Q.run_checks(spark, {"child": child.limit(0), "parent": parent.limit(0)}, suite)
+    assert {(r.failures, r.status) for r in empty.collect()} == {(0, "pass")}
