@@ -21,7 +21,8 @@ from .schemas import ENTITIES, FACT_EVENT_TS, FACT_KEY, REQUIRED
 COMMITS_SINCE = "2024-01-15 12:00:00"
 PRS_SINCE = "2024-06-01 00:00:00"
 BATCH1_CUTOFF = "2024-02-01 02:00:00"      # first load = rows ingested up to here
-BACKFILL_FROM, BACKFILL_TO = "2021-01-01", "2021-12-31"
+BACKFILL_DAYS = {"fct_commits": ("2024-01-10", "2024-01-20"), "fct_pull_requests": ("2021-01-01", "2021-12-31"),
+                 "fct_reviews": ("2021-01-01", "2021-12-31")}
 CHECK_NOW = "2024-02-02 12:00:00"          # "now" for freshness and recency
 RUNS_AS_OF = "2024-02-02"
 
@@ -104,7 +105,7 @@ for _f, (_s, _r, _k, _ts) in _FACTS.items():
 SELECT * FROM {_s} WHERE ingestion_timestamp > (SELECT max(ingestion_timestamp) FROM {_f}_b1)""", _s, f"{_f}_b1")
     O.variant(f"{_f}_new", _f, {_s: f"{_s}_new"})
     O.cte(f"{_f}_days", f"""
-SELECT * FROM {_f} WHERE CAST({_ts} AS DATE) BETWEEN DATE '{BACKFILL_FROM}' AND DATE '{BACKFILL_TO}'""", _f)
+SELECT * FROM {_f} WHERE CAST({_ts} AS DATE) BETWEEN DATE '{BACKFILL_DAYS[_f][0]}' AND DATE '{BACKFILL_DAYS[_f][1]}'""", _f)
 
 
 def _fact(w, name: str, raw: DataFrame, since=None) -> DataFrame:
@@ -149,11 +150,12 @@ def backfill_days(w, name: str) -> DataFrame:
     """The first load's fact, its backfilled days replaced by the whole
     history's; only their months are read."""
     _, _, key, ts = _FACTS[name]
-    months = F.col(M.EVENT_MONTH).between(BACKFILL_FROM[:7], BACKFILL_TO[:7])
+    first, last = BACKFILL_DAYS[name]
+    months = F.col(M.EVENT_MONTH).between(first[:7], last[:7])
     whole = w.table(name, partitioned=True)
     if M.EVENT_MONTH in whole.columns:
         whole = whole.filter(months).drop(M.EVENT_MONTH)
-    return M.backfill(_fact(w, name, _first_batch(w, name)), whole, key, ts, BACKFILL_FROM, BACKFILL_TO)
+    return M.backfill(_fact(w, name, _first_batch(w, name)), whole, key, ts, first, last)
 
 
 def _merge_sql(target: str, src: str, key: str) -> str:
