@@ -9,12 +9,16 @@ that are cut so that all equal strings of ``length`` bytes meet in one part:
 1. Every window of ``length`` bytes goes by the least hash of its
    ``GRAM``-byte strings, which equal windows share.  Neighbouring windows
    mostly share it too, so a run of them goes as one string.
-2. Groups of documents (by a hash of the row) tell which hashes they have,
-   and learn which of them other documents have as well.
-3. Only runs with such a hash travel, as strings.  Strings that are equal
+2. Groups of documents (by a hash of the row) tell which hashes they have
+   and how many different strings, and learn which hashes other documents
+   have as well, and which of them are crowded: more than ``CROWD`` different
+   strings have them (a frequent line, the edges of a shared passage).
+3. Only runs with a shared hash travel, as strings.  Strings that are equal
    within a group travel once, for the smallest doc_id; the others are
    settled on the spot, so a passage of any number of copies sends one
-   string a group.
+   string a group.  Runs of a crowded hash are cut into their single windows,
+   which go by the hash of all their bytes: different surroundings part,
+   equal windows still meet, and again one of them a group travels.
 4. Where the strings of a part of the hashes meet, equal ones are settled by
    their smallest doc_id, and over the remaining different ones a suffix
    array is built by prefix doubling up to ``length`` bytes, ties in document
@@ -47,6 +51,7 @@ MOST_WINDOWS = 64         # of one travelling string
 SLICE = 1 << 19           # windows that are hashed at once
 GROUP_BYTES, LEAST_GROUPS = 8 << 20, 64     # text of a group of documents
 PART_BYTES, LEAST_PARTS = 8 << 20, 256      # text of whose windows one part has the hashes
+CROWD = 512               # different strings around one least hash that meet in one task
 _LAST = np.iinfo(np.int64).max
 
 
@@ -101,15 +106,24 @@ def _runs(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int):
     return [np.concatenate(x) for x in zip(*out)]
 
 
-def _same_as_first(flat: np.ndarray, at: np.ndarray, size: np.ndarray, order_key: np.ndarray):
-    """For strings ``flat[at:at+size]`` (8 bytes at least): the index of the
-    equal string that comes first by ``order_key``.  Hashes propose, bytes
-    decide."""
+def _string_hashes(flat: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of the strings ``flat[at:at+size]`` (8 bytes at least)."""
     words = _words(flat)
     last = at + size - 8
     h = _mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     for k in range(0, int(size.max(initial=0)), 8):
         h = _mix(h ^ words[np.minimum(at + k, last)].astype(np.uint64)) + np.uint64(k)
+    return h
+
+
+def _same_as_first(flat: np.ndarray, at: np.ndarray, size: np.ndarray, order_key: np.ndarray, h: np.ndarray | None = None):
+    """For strings ``flat[at:at+size]`` (8 bytes at least): the index of the
+    equal string that comes first by ``order_key``.  Hashes (``h``, if they
+    are known) propose, bytes decide."""
+    words = _words(flat)
+    last = at + size - 8
+    if h is None:
+        h = _string_hashes(flat, at, size)
     order = np.lexsort((order_key, h))
     new = np.ones(len(order), bool)
     new[1:] = h[order][1:] != h[order][:-1]
@@ -171,7 +185,7 @@ class Group:
     def __init__(self, docs: list[tuple[int, bytes]], length: int, parts: int):
         """``docs`` must be sorted; a document's number is its place."""
         numbers = [i for i, d in enumerate(docs) if len(d[1]) >= length]
-        self.length, self.number = length, np.array(numbers, np.int64)
+        self.length, self.parts, self.number = length, parts, np.array(numbers, np.int64)
         self.ords = np.array([docs[i][0] for i in numbers], np.int64)
         if not numbers:
             self.at = self.least = self.part = np.zeros(0, np.int64)
@@ -182,9 +196,13 @@ class Group:
         self.at, count, least = _runs(self.flat, self.starts, sizes, length)
         self.size = count + length - 1
         self.doc = np.searchsorted(self.starts, self.at, "right") - 1
-        self.part = (least % np.uint64(parts)).astype(np.int64)
-        # 32 further bits tell hashes of a part apart; a clash only lets two meet
-        self.least = ((least // np.uint64(parts)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        self.part, self.least = self._place(least)
+
+    def _place(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The part of hashes, and 32 further bits that tell those of a part
+        apart; a clash only lets two meet."""
+        return ((h % np.uint64(self.parts)).astype(np.int64),
+                ((h // np.uint64(self.parts)) & np.uint64(0xFFFFFFFF)).astype(np.int64))
 
     def _by_part(self, index: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         for i in np.split(index, np.flatnonzero(np.diff(self.part[index])) + 1):
@@ -192,63 +210,101 @@ class Group:
                 yield int(self.part[i[0]]), i
 
     def hashes(self) -> Iterator[tuple[int, bytes]]:
-        """Per part: its distinct hashes, and whether two documents have them."""
-        order = np.lexsort((self.ords[self.doc], self.least, self.part)) if len(self.at) else self.at
-        for part, i in self._by_part(order):
-            h, o = self.least[i], self.ords[self.doc[i]]
-            edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-            last = np.append(edge[1:], len(h)) - 1
-            yield part, _pack(np.diff(h[edge], prepend=0).astype(np.uint32), o[edge] != o[last])
-
-    def strings(self, marked: dict[int, np.ndarray]) -> Iterator[tuple[int, bytes]]:
-        """Per part, the strings that travel (key: part) and, at key -1, the
-        removals that are settled here."""
+        """Per part: its distinct hashes, whether two documents have them, how
+        many different strings do, and 16 bits of the set of these strings."""
+        if not len(self.at):
+            return
+        string = _string_hashes(self.flat, self.at, self.size)
+        for part, i in self._by_part(np.lexsort((string, self.least, self.part))):
+            h, o, s = self.least[i], self.ords[self.doc[i]], string[i]
+            new = np.append(True, h[1:] != h[:-1])
+            edge = np.flatnonzero(new)
+            other = new | np.append(True, s[1:] != s[:-1])
+            yield part, _pack(np.diff(h[edge], prepend=0).astype(np.uint32),
+                              np.minimum.reduceat(o, edge) != np.maximum.reduceat(o, edge),
+                              np.add.reduceat(other.astype(np.uint32), edge, dtype=np.uint32),
+                              np.add.reduceat(np.where(other, s, np.uint64(0)), edge).astype(np.uint16))
+
+    def strings(self, marked: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, bytes]]:
+        """Per part, the strings that travel (key: part, for single windows of
+        crowded hashes behind all parts) and, at key -1, the removals that
+        are settled here.  ``marked``: by part, the shared
+        hashes and which of them are crowded."""
         if not len(self.at):
             return
-        use = np.zeros(len(self.at), bool)
+        use, crowded = np.zeros(len(self.at), bool), np.zeros(len(self.at), bool)
         for part, i in self._by_part(np.argsort(self.part, kind="stable")):
             if part in marked:
-                known = marked[part]
-                k = np.searchsorted(known, self.least[i])
-                use[i] = known[np.minimum(k, len(known) - 1)] == self.least[i]
+                known, crowd = marked[part]
+                k = np.minimum(np.searchsorted(known, self.least[i]), len(known) - 1)
+                use[i] = known[k] == self.least[i]
+                crowded[i] = use[i] & crowd[k]
         use = np.flatnonzero(use)
         if not len(use):
             return
-        at, size, doc = self.at[use], self.size[use], self.doc[use]
+        at, size = self.at[use], self.size[use]
         first = _same_as_first(self.flat, at, size, at)
+        own, gone = self._settled(at, size, first)
+        yield from gone
+        whole, cut = own[~crowded[use[own]]], own[crowded[use[own]]]
+        yield from self._sent(at[whole], size[whole], self.part[use[whole]], self.least[use[whole]])
+        # crowded: single windows by the hash of all their bytes
+        count = size[cut] - self.length + 1
+        at = np.repeat(at[cut] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        h = np.concatenate([np.zeros(0, np.uint64), *(_string_hashes(self.flat, x, np.full(len(x), self.length))
+                                                      for x in np.split(at, range(SLICE, len(at), SLICE)))])
+        part, least = self._place(h)
+        blocks = -(-len(at) // SLICE)
+        block = part * blocks // self.parts                # a range of parts at a time
+        for b in range(blocks):
+            i = np.flatnonzero(block == b)
+            size = np.full(len(i), self.length)
+            own, gone = self._settled(at[i], size, _same_as_first(self.flat, at[i], size, at[i], h[i]))
+            yield from gone
+            yield from self._sent(at[i][own], size[own], self.parts + part[i][own], least[i][own])
+
+    def _settled(self, at: np.ndarray, size: np.ndarray, first: np.ndarray):
+        """Indices of the strings that are not settled by an equal one of an
+        earlier document here (``first``), and the removals of the others."""
+        doc = np.searchsorted(self.starts, at, "right") - 1
         settled = self.ords[doc] > self.ords[doc[first]]
         pos = at - self.starts[doc]
         d, a, b = _merge(doc[settled], pos[settled], (pos + size)[settled])
-        if len(d):
-            yield -1, _pack(self.number[d], a, b)
-        left = np.flatnonzero(~settled)
-        left = left[np.lexsort((at[left], self.least[use[left]], self.part[use[left]]))]
-        part = self.part[use[left]]
-        for one in np.split(left, np.flatnonzero(np.diff(part)) + 1):
-            if len(one):
-                yield int(self.part[use[one[0]]]), _pack(
-                    np.diff(self.least[use[one]], prepend=0).astype(np.uint32), self.ords[doc[one]],
-                    self.number[doc[one]].astype(np.int32), pos[one].astype(np.int32), size[one].astype(np.int32),
-                    _gather(self.flat, at[one], size[one]))
+        return np.flatnonzero(~settled), [(-1, _pack(self.number[d], a, b))] if len(d) else []
+
+    def _sent(self, at: np.ndarray, size: np.ndarray, part: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """Packets of strings, by part."""
+        doc = np.searchsorted(self.starts, at, "right") - 1
+        order = np.lexsort((at, least, part))
+        for i in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            if len(i):
+                yield int(part[i[0]]), _pack(
+                    np.diff(least[i], prepend=0).astype(np.uint32), self.ords[doc[i]],
+                    self.number[doc[i]].astype(np.int32), (at - self.starts[doc])[i].astype(np.int32),
+                    size[i].astype(np.int32), _gather(self.flat, at[i], size[i]))
 
 
 def mark(packets: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
     """Of the hashes of one part by group: per group, those that two or more
-    documents have."""
+    documents have, and whether more than ``CROWD`` different strings do
+    (groups with the same set of strings count once)."""
     read = [_unpack(b) for _, b in packets]
     h = np.concatenate([np.cumsum(r[0], dtype=np.int64) for r in read])
-    several = np.concatenate([r[1] for r in read])
+    several, count, strings = (np.concatenate([r[k] for r in read]) for k in (1, 2, 3))
     whose = np.repeat(np.arange(len(packets)), [len(r[0]) for r in read])
-    order = np.argsort(h, kind="stable")
-    edge = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
+    order = np.lexsort((strings, h))
+    new = np.append(True, h[order][1:] != h[order][:-1])
+    edge = np.flatnonzero(new)
     n = np.diff(np.append(edge, len(h)))
-    shared = np.empty(len(h), bool)
+    shared, crowded = np.empty(len(h), bool), np.empty(len(h), bool)
     shared[order] = np.repeat((n > 1) | np.logical_or.reduceat(several[order], edge), n)
+    other = new | np.append(True, strings[order][1:] != strings[order][:-1])
+    crowded[order] = np.repeat(np.add.reduceat(np.where(other, count[order], 0).astype(np.int64), edge) > CROWD, n)
     out = []
     for k, i in enumerate(np.split(np.arange(len(h)), np.flatnonzero(np.diff(whose)) + 1)):
         i = i[shared[i]]
         if len(i):
-            out.append((packets[k][0], _pack(np.diff(h[i], prepend=0).astype(np.uint32))))
+            out.append((packets[k][0], _pack(np.diff(h[i], prepend=0).astype(np.uint32), crowded[i])))
     return out
 
 
@@ -321,8 +377,8 @@ def settle(packets: list[tuple[int, bytes]], length: int) -> list[tuple[int, byt
     first = _same_as_first(flat, at, size, np.arange(len(at)))
     whole = ords > ords[first]
     found = [(np.flatnonzero(whole), pos[whole], (pos + size)[whole])]
-    # different strings: longest previous factors
-    own = np.flatnonzero(first == np.arange(len(first)))
+    # different strings: longest previous factors; if all are single windows, none has any
+    own = np.flatnonzero((first == np.arange(len(first))) & (size.max() > length))
     text = np.concatenate([_gather(flat, at[own], size[own]), np.zeros(length + 8, np.uint8)])
     begin = np.cumsum(size[own]) - size[own]
     count = size[own] - length + 1
@@ -380,8 +436,10 @@ def _tell(length: int, parts: int):
 def _send(length: int, parts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         g, docs, _ = _read(left)
-        marked = {p: np.cumsum(_unpack(b)[0], dtype=np.int64)
-                  for p, b in zip(right.column("place").to_pylist(), right.column("blob").to_pylist())}
+        marked = {}
+        for p, b in zip(right.column("place").to_pylist(), right.column("blob").to_pylist()):
+            hashes, crowded = _unpack(b)
+            marked[p] = np.cumsum(hashes, dtype=np.int64), crowded
         return _packets([(p, g, b) for p, b in Group(docs, length, parts).strings(marked)])
     return run
 

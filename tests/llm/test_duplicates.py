@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from repolens.llm import components, exact_dedup, simhash, suffix_dedup
@@ -55,6 +56,37 @@ def test_repeats_on_odd_rows(docs, no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
 
+def test_different_strings_around_a_hash_are_spread(spark):
+    """A passage in many documents, each with surroundings of its own."""
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 3 + k % 8)) for k in range(5000)]
+
+    def some(n):
+        return " ".join(words[k] for k in rng.integers(0, len(words), n))
+
+    passage = some(60)
+    rows = [(i, f"{some(20)} {passage} {some(20)}") for i in range(1500)]
+    rows += [(2000 + i, rows[3 * i][1]) for i in range(40)]
+    parts = 16
+    tables = [pa.table({"ord": [o for o, _ in part], "text": [t for _, t in part], "g": [g] * len(part)})
+              for g, part in enumerate(rows[k::8] for k in range(8))]
+    told, sent = defaultdict(list), defaultdict(set)
+    for t in tables:
+        for r in suffix_dedup._tell(50, parts)(t).to_pylist():
+            told[r["place"]].append((r["g"], r["blob"]))
+    marked = [(p, *x) for p, packets in told.items() for x in suffix_dedup.mark(packets)]
+    for g, t in enumerate(tables):
+        mine = [m for m in marked if m[1] == g]
+        for r in suffix_dedup._send(50, parts)(t, suffix_dedup._packets(mine)).to_pylist():
+            if r["place"] != -1:
+                least, _, _, _, size, flat = suffix_dedup._unpack(r["blob"])
+                ends = np.cumsum(size)
+                for h, a, b in zip(np.cumsum(least, dtype=np.int64).tolist(), (ends - size).tolist(), ends.tolist()):
+                    sent[r["place"], h].add(flat[a:b].tobytes())
+    assert max(map(len, sent.values())) <= 512       # 1000 and more at the edges of the passage if none is cut
+    check_suffix(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_suffix_ranks_and_previous_factors():
     rng = np.random.default_rng(0)
     text = rng.integers(97, 99, 300).astype(np.uint8)
