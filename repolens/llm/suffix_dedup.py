@@ -466,6 +466,13 @@ def _by_place(work):
     return run
 
 
+def _to_places(packets: DataFrame) -> DataFrame:
+    """Packets of a place side by side; those at -1, which only pass, are
+    spread by group."""
+    return (packets.repartition("place", F.when(F.col("place") == -1, F.col("g")))
+            .sortWithinPartitions("place"))
+
+
 def _apply(left: pa.Table, right: pa.Table) -> pa.Table:
     """Texts of a group and its removals."""
     _, docs, places = _read(left)
@@ -504,7 +511,7 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     by_group = src.groupBy("g")
 
     def meet(packets: DataFrame, work) -> DataFrame:
-        return packets.repartition("place").sortWithinPartitions("place").mapInArrow(_by_place(work), PACKETS)
+        return _to_places(packets).mapInArrow(_by_place(work), PACKETS)
 
     marked = meet(by_group.applyInArrow(_tell(length, parts), PACKETS), mark)
     strings = by_group.cogroup(marked.groupBy("g")).applyInArrow(_send(length, parts), PACKETS)

@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import functions as F
 
 from repolens.llm import components, exact_dedup, simhash, suffix_dedup
 from repolens.llm.registry import table
@@ -87,6 +88,23 @@ def test_different_strings_around_a_hash_are_spread(spark):
     check_suffix(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_settled_packets_are_spread_by_group(spark):
+    rows = [(-1, g, b"") for g in range(64)] + [(p, g, b"") for p in range(8) for g in range(8)]
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")                     # the table is small: one task would take all
+    try:
+        df = suffix_dedup._to_places(spark.createDataFrame(rows, suffix_dedup.PACKETS))
+        seen = df.select("place", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set(key, before)
+    tasks = defaultdict(set)
+    for r in seen:
+        tasks[r.place].add(r.task)
+    assert len(tasks[-1]) > 1
+    assert all(len(tasks[p]) == 1 for p in range(8))
+
+
 def test_suffix_ranks_and_previous_factors():
     rng = np.random.default_rng(0)
     text = rng.integers(97, 99, 300).astype(np.uint8)
