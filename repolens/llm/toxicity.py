@@ -8,7 +8,7 @@ windows of ``WINDOW`` words, one every ``STRIDE``, over the whole text; the
 score of a text is that of its highest window.
 
 Training fits on at most ``TRAIN_TOXIC`` + ``TRAIN_CLEAN`` labelled rows
-(those of least hash of doc_id; of rows that repeat a doc_id the least text),
+that exist (those of least hash of doc_id; of rows that repeat a doc_id the least text),
 whole texts, on the driver: the bound is the same at every size.  First all windows carry their text's label, then
 only the highest one does.  Nothing but text enters a score.
 
@@ -247,6 +247,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic: int, most: int) ->
     ids = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .filter(~held_out(F.col("doc_id")) & (F.col("toxic") == toxic))
+           .join(docs.select("doc_id"), "doc_id", "left_semi")      # ids without a row do not use up the sample
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     # at most ``most`` ids
     return (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")

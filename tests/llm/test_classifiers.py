@@ -62,6 +62,14 @@ def test_toxicity_on_odd_rows(spark, docs, no_docs, network):
     assert {r.score for r in toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_labels_without_documents_do_not_use_up_the_sample(spark):
+    docs = spark.range(4000, 4200).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    labels = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    for toxic in (0, 1):
+        rows = toxicity.training_rows(docs, labels, toxic, 20).collect()
+        assert len(rows) == 20 and all(4000 <= r.doc_id < 4200 and r.toxic == toxic for r in rows)
+
+
 def test_language_on_held_out_rows(spark):
     df = table(spark, SF, "documents")
     rows = langid.identify(df, langid.fit(df)).filter("held_out").join(df.select("doc_id", "lang"), "doc_id").collect()
