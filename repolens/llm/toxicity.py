@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .bpe_vocab import on_worker, slices
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 VOCABULARY, LEAST_TEXTS = 20_000, 3
 GRAM_BITS = 13

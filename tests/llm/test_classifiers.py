@@ -70,6 +70,13 @@ def test_labels_without_documents_do_not_use_up_the_sample(spark):
         assert len(rows) == 20 and all(4000 <= r.doc_id < 4200 and r.toxic == toxic for r in rows)
 
 
+def test_phrases_of_half_a_window_lie_whole_in_one():
+    phrase = toxicity.WINDOW // 2 + 1
+    for n in (17, 32, 33, 48, 49, 57, 500):
+        first = toxicity.windows(n)
+        assert all(any(a <= k and k + phrase <= a + toxicity.WINDOW for a in first) for k in range(n - phrase + 1))
+
+
 def test_language_on_held_out_rows(spark):
     df = table(spark, SF, "documents")
     rows = langid.identify(df, langid.fit(df)).filter("held_out").join(df.select("doc_id", "lang"), "doc_id").collect()
