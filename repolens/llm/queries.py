@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import q_chat, q_classifiers, q_cws, q_exact_dedup, q_mixing, q_simhash, q_suffix_dedup, q_tokens  # noqa: F401  (each registers its queries)
+from . import (  # noqa: F401  (each registers its queries)
+    q_chat, q_classifiers, q_cws, q_exact_dedup, q_mixing, q_periodic_runs, q_simhash, q_suffix_dedup, q_tokens)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
