@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from repolens.llm import periodic_runs, q_periodic_runs
-from repolens.llm.registry import QUERIES, table
+from repolens.llm.queries import QUERIES
+from repolens.llm.registry import table
 
 from .conftest import DOCS
 
