@@ -3,18 +3,54 @@
 Read once on the driver (``load_spec``) and broadcast: its size is that of
 the vocabulary file, whatever the data.  Workers build what they need from
 it once per process (``on_worker``).
+
+What is a letter, a number or white space depends on the Unicode version, in
+which the tokenizers library and ``regex`` differ; the library decides.  Its
+classes are read from it on the driver; texts with a character that the two
+class differently are split by a pattern of the library's own classes.
 """
 
 from __future__ import annotations
 
 import json
+from functools import cache
 from typing import Any
 
 import regex
+from tokenizers import Regex
+from tokenizers.pre_tokenizers import Split
 
 NEVER = 1 << 60
 # Fixed value: the split pattern of byte-level BPE vocabularies of this family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+CLASSES = (r"\p{L}", r"\p{N}", r"\s")
+
+
+def _ranges(matches, text: str) -> str:
+    """The body of a character class of the ranges (start, end) in ``text``."""
+    return "".join(f"\\U{ord(text[a]):08x}-\\U{ord(text[b - 1]):08x}" for a, b in matches)
+
+
+@cache
+def library_classes() -> tuple[dict[str, str], str]:
+    """Per class of ``CLASSES`` the body of a class of the characters that the
+    library takes for it, and one of those that ``regex`` classes differently
+    (empty if there are none)."""
+    # the planes that hold characters of these classes in any Unicode version
+    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x40000), *range(0xE0000, 0xE1000)]))
+    own, odd = {}, set()
+    for c in CLASSES:
+        theirs = [where for _, where in Split(Regex(c + "+"), "removed", invert=True).pre_tokenize_str(text)]
+        own[c] = _ranges([w for a, b in theirs for w in _unbroken(text, a, b)], text)
+        ours = {m.start() for m in regex.finditer(c, text)}
+        odd |= ours ^ {i for a, b in theirs for i in range(a, b)}
+    return own, "".join(f"\\U{ord(text[i]):08x}" for i in sorted(odd))
+
+
+def _unbroken(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """``text[a:b]`` cut where code points are left out."""
+    cuts = [a, *(i for i in (0xD800, 0xD800 + 0x40000 - 0xE000) if a < i < b), b]
+    return list(zip(cuts, cuts[1:]))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -41,7 +77,9 @@ def load_spec(path: str) -> dict[str, Any]:
     to_bytes = lambda s: bytes(of[c] for c in s)
     ids = {t: i for t, i in model["vocab"].items() if not any(a["content"] == t for a in doc["added_tokens"])}
     merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    classes, odd = library_classes()
     return {
+        "classes": classes, "odd": odd,
         "tokens": {i: to_bytes(t) for t, i in ids.items()},
         "merges": [(ids[a], ids[b], ids[a + b]) for a, b in merges],
         "added": {a["content"]: a["id"] for a in doc["added_tokens"]},
@@ -56,9 +94,22 @@ class Vocabulary:
         self.byte_ids = [self.by_bytes[bytes([b])] for b in range(256)]
         self.rank_of = {a << 20 | b: rank for rank, (a, b, _) in enumerate(spec["merges"])}.get
         self.made = [c for _, _, c in spec["merges"]]
-        self.pieces = regex.compile(PATTERN).findall
+        self._pieces = regex.compile(PATTERN).findall
+        odd = spec["odd"]
+        self._odd = regex.compile(f"[{odd}]").search if odd else None
+        self._first_odd = chr(int(odd[2:10], 16)) if odd else ""
+        letter, number, space = (spec["classes"][c] for c in CLASSES)
+        self._exact = regex.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]")
+                                    .replace(r"\p{L}", f"[{letter}]").replace(r"\p{N}", f"[{number}]")
+                                    .replace(r"\s", f"[{space}]").replace(r"\S", f"[^{space}]")).findall
         self._added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
+    def pieces(self, text: str) -> list[str]:
+        """Pre-tokens of ordinary text, as the library cuts them."""
+        if self._odd and text and max(text) >= self._first_odd and self._odd(text):
+            return self._exact(text)
+        return self._pieces(text)
+
     def parts(self, text: str) -> list[str]:
         """Ordinary text at even places, added tokens at odd ones."""
         return self._added.split(text) if any(a in text for a in self.added) else [text]

@@ -105,12 +105,18 @@ def test_settled_packets_are_spread_by_group(spark):
     assert all(len(tasks[p]) == 1 for p in range(8))
 
 
-def test_suffix_ranks_and_previous_factors():
+def test_shared_windows_and_previous_factors():
     rng = np.random.default_rng(0)
-    text = rng.integers(97, 99, 300).astype(np.uint8)
-    rank = suffix_dedup.suffix_ranks(np.concatenate([text, np.zeros(28, np.uint8)]), 20)[:280]
-    strings = [text[i:i + 20].tobytes() for i in range(280)]
-    assert all((rank[i] < rank[j]) == (strings[i] < strings[j]) for i in range(0, 280, 7) for j in range(280))
+    for letters, length in ((2, 8), (2, 20), (2, 29), (1, 24), (26, 20)):
+        text = rng.integers(97, 97 + letters, 300).astype(np.uint8)
+        text[150:200] = text[20:70]
+        at = np.flatnonzero(rng.random(300 - length) < 0.7)
+        strings = [text[i:i + length].tobytes() for i in at]
+        met, rank = suffix_dedup.shared_windows(np.concatenate([text, np.zeros(8, np.uint8)]), at, length)
+        assert met.tolist() == [i for i, x in enumerate(strings) if strings.count(x) > 1]
+        order = {x: r for r, x in enumerate(sorted({strings[i] for i in met}))}
+        assert [order[strings[i]] for i in met] == np.unique(rank, return_inverse=True)[1].tolist()
+    assert [len(x) for x in suffix_dedup.shared_windows(np.zeros(60, np.uint8), np.zeros(0, np.int64), 50)] == [0, 0]
     rank = np.array([0, 1, 0, 0, 1, 2])
     doc = np.array([5, 5, 5, 6, 7, 7])
     before, behind = suffix_dedup.previous_factors(rank, doc)

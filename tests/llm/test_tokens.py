@@ -5,6 +5,7 @@ import random
 
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from repolens.llm import bpe_dp, token_count
@@ -47,6 +48,40 @@ def test_counts_ids_and_decoding_equal_the_library(library):
         assert decoder.decode(np.array(ids, np.int32)) == library.decode(ids, skip_special_tokens=False) == text
 
 
+def test_every_character_is_classed_as_the_library_does(library):
+    """All code points beside a contraction, between letters and digits, after
+    a space, and all of them under the pattern of the library's classes."""
+    spec = load_spec(PATH)
+    vocab = Vocabulary(spec)
+    split = library.pre_tokenizer.pre_tokenize_str
+    cut = lambda text: [text[a:b] for _, (a, b) in split(text)]
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    odd = sorted({c for c in every if vocab._odd(c)})
+    assert len(odd) > 1000          # the installed versions differ; else the next lines test nothing new
+    r = random.Random(4)
+    for c in r.sample(odd, 400) + r.sample(every, 400):
+        for text in (f"{c}'s", f"a{c}b", f" {c}", f"a's{c}'ll 1{c}2 {c} x", f"{c} {c}"):
+            assert vocab.pieces(text) == vocab._exact(text) == cut(text)
+    # every code point that is not the same kind of other character in both, and one in eight of the rest
+    plain = regex.compile(r"[^\s\p{L}\p{N}]").match
+    known = [c for i, c in enumerate(every) if i % 8 == 0 or not plain(c)]
+    for a in range(0, len(known), 40):
+        text = "".join(f"a{c}'s 1{c}" for c in known[a:a + 40])
+        assert vocab.pieces(text) == cut(text)
+
+
+def test_ids_of_characters_of_other_unicode_versions(library):
+    spec = load_spec(PATH)
+    counter = token_count.Counter(spec | {"whole": token_count.whole_tokens(Vocabulary(spec))})
+    encoder, is_odd = bpe_dp.Encoder(spec), Vocabulary(spec)._odd
+    odd = [c for c in map(chr, range(0x20000)) if is_odd(c)]
+    r = random.Random(5)
+    for _ in range(400):
+        text = "".join(r.choice([r.choice(odd), r.choice("ab1 '.\n"), "'s", " the", "é"]) for _ in range(r.randrange(1, 30)))
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == ids and counter.count(text) == len(ids)
+
+
 def test_compatible_pairs_are_those_that_merge_to_themselves():
     spec = load_spec(PATH)
     encoder, vocab = bpe_dp.Encoder(spec), Vocabulary(spec)
