@@ -21,8 +21,8 @@ that are cut so that all equal strings of ``length`` bytes meet in one part:
    equal windows still meet, and again one of them a group travels.
 4. Where the strings of a part of the hashes meet, equal ones are settled by
    their smallest doc_id, and over the remaining different ones a suffix
-   array is built by prefix doubling up to ``length`` bytes, ties in document
-   order.  ``previous_factors`` finds the nearest earlier document before and
+   array is built up to ``length`` bytes, 8 bytes at a time and of tying
+   suffixes only, ties in document order.  ``previous_factors`` finds the nearest earlier document before and
    behind each suffix (previous and next smaller values), as far as the match
    reaches ``length``.
 5. What goes returns to the documents' group.
@@ -309,25 +309,26 @@ def mark(packets: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
 
 
 # ------------------------------------------------------------------ step 2
-def suffix_ranks(flat: np.ndarray, length: int) -> np.ndarray:
-    """Rank of the ``length`` bytes from every position on, in byte order;
-    equal strings have equal ranks (prefix doubling)."""
-    def dense(keys):
-        order = np.argsort(keys, kind="stable")
-        ordered = keys[order]
-        rank = np.empty(len(keys), np.int64)
-        rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1]))
-        return rank
-
-    if length < 8:
-        keys = np.zeros(len(flat) - 7, np.uint64) + (_words(flat) >> np.uint64(64 - 8 * length))
-        return dense(keys)
-    rank, known = dense(_words(flat).astype(np.uint64)), 8
-    while known < length:
-        step = min(known, length - known)
-        rank = dense(rank[:-step] * (len(rank) + 1) + rank[step:])
-        known += step
-    return rank
+def shared_windows(flat: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the suffixes that start at ``at`` and are compared up to ``length``
+    bytes (8 or more): those that another one equals, ascending, and the rank
+    of each in suffix order (equal strings have equal ranks).  Sorted by their
+    first 8 bytes; only those that tie are sorted by the next 8, and so on."""
+    words = _words(flat)
+    live, rank = np.arange(len(at)), np.zeros(len(at), np.int64)
+    for k in [*range(0, length - 8, 8), length - 8]:
+        key = words[at[live] + k].astype(np.uint64)
+        order = np.argsort(key) if not k else np.lexsort((key, rank))
+        live, key, rank = live[order], key[order], rank[order]
+        new = np.ones(len(live), bool)
+        new[1:] = (key[1:] != key[:-1]) | (rank[1:] != rank[:-1])
+        edge = np.append(np.flatnonzero(new), len(live))
+        tie = np.repeat(np.diff(edge) > 1, np.diff(edge))
+        live, rank = live[tie], np.cumsum(new)[tie]      # what stands alone has no match
+        if not len(live):
+            break
+    order = np.argsort(live)
+    return live[order], rank[order]
 
 
 def previous_factors(rank: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -384,9 +385,9 @@ def settle(packets: list[tuple[int, bytes]], length: int) -> list[tuple[int, byt
     count = size[own] - length + 1
     of = np.repeat(np.arange(len(own)), count)
     inside = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-    rank = suffix_ranks(text, length)[begin[of] + inside]
-    before, behind = previous_factors(rank, ords[own][of])
-    hit = (before >= 0) | (behind >= 0)
+    met, rank = shared_windows(text, begin[of] + inside, length)
+    before, behind = previous_factors(rank, ords[own][of[met]])
+    hit = met[(before >= 0) | (behind >= 0)]
     goes, where = of[hit], inside[hit]
     s, a, b = _merge(goes, where, where + length)
     # a string's result holds for its copies in the same document
