@@ -100,6 +100,11 @@ def _base_dir(spark: SparkSession) -> str:
     return f"{(conf or checkpoint_root(spark)).rstrip('/')}/repolens-warehouse"
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder beside the written layers for tables that one query writes."""
+    return f"{_base_dir(spark)}/_scratch"
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, dim_end=DIM_END, materialize: bool = True):
         self.spark = spark
@@ -121,7 +126,7 @@ class Warehouse:
         if name in STAGING:
             return staging.STAGING[name][1](t(staging.STAGING[name][0]))
         if name == "run_log":
-            return runlog.run_log_from_raw({r: t(r) for r in RAW})
+            return runlog.run_log_from_landed({r: self.landed(r) for r in RAW}, fixtures.step_error)
         if name == "dim_date":
             return mart.dim_date(self.spark, DIM_START, self.dim_end)
         if name == "dim_repository":
@@ -167,6 +172,10 @@ class Warehouse:
     def raw(self, name: str) -> DataFrame:
         return self.table(name)
 
+    def landed(self, name: str) -> DataFrame:
+        """The rows that landed for a raw table, rejected ones too."""
+        return fixtures.LANDED_BUILDERS[name](self.tables)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in LAYERS:
             return self.table(name)

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "c", "safe_timestamp", "utc_wallclock", "part", "day_of_week", "iso_week", "date_key",
+    "c", "safe_timestamp", "utc_wallclock", "instant_wallclock", "part", "day_of_week", "iso_week", "date_key",
     "surrogate_key", "whole_hours", "owner_of", "left_chars",
     "day_start", "week_start", "month_start", "elapsed_seconds",
 ]
@@ -33,11 +33,15 @@ def utc_wallclock(x) -> Column:
     """
     text = c(x).cast("string")
     has_offset = text.rlike(r"(?i)(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2}){0,2})$") & text.contains(":")
-    seconds = F.unix_micros(text.try_cast("timestamp")).cast("decimal(24,6)") / F.lit(1000000).cast("decimal(7,0)")
+    return F.when(has_offset, instant_wallclock(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
+
+
+def instant_wallclock(x) -> Column:
+    """The UTC wall clock of a ``timestamp`` (an instant), in any session time zone."""
+    seconds = F.unix_micros(c(x)).cast("decimal(24,6)") / F.lit(1000000).cast("decimal(7,0)")
     zero = F.lit(0)
-    instant = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         zero, zero, zero, seconds.cast("decimal(18,6)"))
-    return F.when(has_offset, instant).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def part(fn, x) -> Column:

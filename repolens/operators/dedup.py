@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import LANDED_AT
+
 ORDER_COLUMN = "ingestion_timestamp"
 
 
@@ -31,9 +33,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str = ORDER_CO
 
 
 def tie_breaks_for(df: DataFrame, keys: Sequence[str], order_col: str = ORDER_COLUMN) -> list[str]:
-    """All columns except the key and the ordering column: the source's own
-    ``updated_at`` first (of two snapshots in one batch the later one wins),
-    then in schema order."""
+    """All columns except the key and the ordering column: when the row's file
+    landed and the source's own ``updated_at`` first (of two snapshots in one
+    batch the later one wins), then in schema order."""
     skip = set(keys) | {order_col}
     rest = [f for f in df.columns if f not in skip]
-    return sorted(rest, key=lambda f: f != "updated_at")
+    return sorted(rest, key=lambda f: (f != LANDED_AT, f != "updated_at"))

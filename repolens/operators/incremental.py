@@ -16,11 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import utc_wallclock
-from ..schemas import WATERMARK_SCHEMA
+from ..schemas import WATERMARK_SCHEMA, WATERMARK_TABLE
 from . import sinks
 
-WATERMARK_TABLE = "_extraction_metadata"
-
 
 def _wm_root(root: str) -> str:
     return f"{root.rstrip('/')}/raw/{WATERMARK_TABLE}"
@@ -43,14 +41,18 @@ def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(WATERMARK_SCHEMA).parquet(f"{_wm_root(root)}/v={vs[-1]}")
 
 
-def get_watermark(spark: SparkSession, root: str, entity: str):
+def get_watermark(spark: SparkSession, root: str, entity: str, strict: bool = False):
     """INC-01: last extraction instant of ``entity``; None when absent or
-    unreadable, which makes the run fall back to a full extraction."""
+    unreadable, which makes the run fall back to a full extraction.
+    ``strict`` raises what made it unreadable: a passing read error should
+    not rebuild a whole fact."""
     try:
         r = read_watermarks(spark, root).filter(F.col("entity_type") == entity) \
             .agg(F.max("last_extracted_at").alias("m")).first()
         return None if r is None else r["m"]
     except Exception:  # unreadable state -> full extraction
+        if strict:
+            raise
         return None
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import utc_wallclock
-from ..schemas import RAW_SCHEMAS, REQUIRED
+from ..schemas import LANDED_AT, RAW_SCHEMAS, REQUIRED
 
 
 def _num_or_zero(parent: str, leaf: str) -> Column:
@@ -23,9 +23,17 @@ def _num_or_zero(parent: str, leaf: str) -> Column:
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
-    """Order and type columns exactly as the raw table declares."""
+    """Order and type columns exactly as the raw table declares; what the
+    landing reader added (``CARRIED``) goes along behind them."""
     sch = RAW_SCHEMAS[table]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in sch.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in sch.fields], *_carried(df))
+
+
+CARRIED = (LANDED_AT, "_file")
+
+
+def _carried(df: DataFrame) -> list[str]:
+    return [c for c in CARRIED if c in df.columns]
 
 
 def to_raw_commits(df: DataFrame, repo: str | Column | None = None) -> DataFrame:
@@ -42,7 +50,7 @@ def to_raw_commits(df: DataFrame, repo: str | Column | None = None) -> DataFrame
         _num_or_zero("stats", "additions").alias("additions"),
         _num_or_zero("stats", "deletions").alias("deletions"),
         _num_or_zero("stats", "total").alias("changed_files"),
-        F.lit(None).alias("ingestion_timestamp"),
+        F.lit(None).alias("ingestion_timestamp"), *_carried(df),
     ), "raw_commits")
 
 
@@ -57,7 +65,7 @@ def to_raw_pull_requests(df: DataFrame, repo: str | Column | None = None) -> Dat
         utc_wallclock("updated_at").alias("updated_at"),
         utc_wallclock("merged_at").alias("merged_at"),
         "merge_commit_sha",
-        F.lit(None).alias("ingestion_timestamp"),
+        F.lit(None).alias("ingestion_timestamp"), *_carried(df),
     ), "raw_pull_requests")
 
 
@@ -72,7 +80,7 @@ def to_raw_reviews(df: DataFrame, repo: str | Column | None = None, pr_number=No
         "state",
         utc_wallclock("submitted_at").alias("submitted_at"),
         "body",
-        F.lit(None).alias("ingestion_timestamp"),
+        F.lit(None).alias("ingestion_timestamp"), *_carried(df),
     ), "raw_reviews")
 
 
@@ -88,7 +96,7 @@ def to_raw_repositories(df: DataFrame) -> DataFrame:
         "visibility",
         F.coalesce(F.col("fork"), F.lit(False)).alias("fork"),
         F.coalesce(F.col("stargazers_count"), F.lit(0)).alias("stargazers_count"),
-        F.lit(None).alias("ingestion_timestamp"),
+        F.lit(None).alias("ingestion_timestamp"), *_carried(df),
     ), "raw_repositories")
 
 
@@ -96,7 +104,7 @@ def to_raw_languages(df: DataFrame, repo: str | Column | None = None, map_col: s
     """ING-05.  One row per (repo, language); a NULL or empty map gives no
     rows (``explode``, not ``explode_outer``)."""
     e = df.select(_repo(df, repo).alias("repo_full_name"),
-                  F.explode(F.col(map_col)).alias("language_name", "byte_count"))
+                  F.explode(F.col(map_col)).alias("language_name", "byte_count"), *_carried(df))
     return _conform(e.withColumn("ingestion_timestamp", F.lit(None)), "raw_languages")
 
 

@@ -2,20 +2,25 @@
 partition-scoped write that persists a merge on plain parquet.
 
 Parquet has no row-level MERGE, so a merge is computed as
-``target ANTI JOIN source ON key  UNION ALL  source`` and only the fact
-partitions it touches are rewritten with dynamic partition overwrite.
+``target ANTI JOIN source ON key  UNION ALL  source`` over the month
+partitions that it touches; these are written to new folders and published
+with one manifest (``operators.versioned``): readers see the merge whole or
+not at all.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sinks
+from . import versioned as V
 
 EVENT_MONTH = "event_month"
+BUCKET, BUCKETS = "key_bucket", 64     # of the index of keys
 
 
 class DuplicateKeyError(ValueError):
@@ -91,38 +96,75 @@ def for_month_write(df: DataFrame, key: str) -> DataFrame:
     return df.repartitionByRange(F.col(EVENT_MONTH), F.col(key))
 
 
+# ------------------------------------------------------------------ index of keys
+def key_index_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_keys"
+
+
+def _keys(df: DataFrame, key: str) -> DataFrame:
+    return df.select(F.col(key), EVENT_MONTH, F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("string").alias(BUCKET))
+
+
+def add_keys(spark: SparkSession, df: DataFrame, path: str, key: str, anew: bool = False) -> None:
+    """Add the (key, month) pairs of ``df`` to the index of the fact at
+    ``path`` (``anew``: make it of them alone).  The index only has to hold
+    every pair of the fact; one that is no longer true makes a merge look at
+    one month more, so it is added to before a version is published and made
+    anew, in one commit, only after a full build."""
+    out = _keys(df, key).repartition(BUCKET)
+    V.publish(spark, out, key_index_path(path), BUCKET, None if anew else ())
+
+
+def months_of_keys(spark: SparkSession, df: DataFrame, path: str, key: str) -> list:
+    """Months in which the fact at ``path`` may hold keys of ``df``, from the
+    buckets of the index that these keys fall in; the fact is not read."""
+    mine = _keys(df, key)
+    buckets = [r[0] for r in mine.select(BUCKET).distinct().collect()]      # BUCKETS at most
+    index = V.read(spark, key_index_path(path), buckets)
+    # one value a month
+    return [r[0] for r in index.join(mine.select(key), key, "left_semi").select(EVENT_MONTH).distinct().collect()]
+
+
+# ------------------------------------------------------------------ writes
+def write_full(spark: SparkSession, src: DataFrame, path: str, key: str, ts_col: str) -> dict:
+    """Publish ``src`` as the whole fact, and the index of its keys."""
+    staged = V.stage(spark, for_month_write(with_event_month(src, ts_col), key), path, EVENT_MONTH)
+    if V.exists(spark, path):       # keys of both until the new version is published
+        add_keys(spark, V.read_staged(spark, path, staged), path, key)
+    V.commit(spark, path, staged)
+    add_keys(spark, V.read(spark, path), path, key, anew=True)
+    return {"mode": "full"}
+
+
 def write_merged(spark: SparkSession, src: DataFrame, path: str, key: str, ts_col: str) -> dict:
-    """Persist ``merge_into(existing, src)`` by rewriting only the touched
-    month partitions of the fact table at ``path``.
+    """Persist ``merge_into(existing, src)`` by writing only the touched
+    month partitions of the fact table at ``path`` and publishing them in one
+    commit.
 
     Touched months = months of the new rows plus months where their keys
-    currently live (a key whose event month moved must leave its old
-    partition).  Months that end up with no row are deleted explicitly,
-    because dynamic overwrite leaves partitions without new rows alone.
-    One writer at a time; partitions are replaced one by one, not atomically.
+    may live (a key whose event month moved must leave its old partition);
+    the latter come from the index of keys, so other months are not read at
+    all.  The delta is written once beside the table and removed at the end;
+    its keys must be unique, or the merge would write a key twice.
     """
-    # the delta is computed once; its keys must be unique, or the merge would write a key twice
-    src_m = with_event_month(src, ts_col).checkpoint(eager=True)
-    assert_unique_keys(src_m, key)
-    if not sinks.exists(spark, path):
-        for_month_write(src_m, key).write.mode("overwrite").partitionBy(EVENT_MONTH).parquet(path)
-        return {"mode": "create"}
-    cur = spark.read.parquet(path)
-    keys_new = src_m.select(key, F.col(EVENT_MONTH).alias("_new_month"))
-    old_months = cur.join(keys_new.select(key), key, "left_semi").select(EVENT_MONTH)
-    # touched months: a small set (one value per month), collected to build the literal filter
-    touched = [r[0] for r in src_m.select(EVENT_MONTH).union(old_months).distinct().collect()]
-    in_touched = F.col(EVENT_MONTH).isin([m for m in touched if m is not None])
-    if None in touched:
-        in_touched = in_touched | F.col(EVENT_MONTH).isNull()
-    affected = cur.filter(in_touched)
-    merged = merge_into(affected, src_m.select(*cur.columns), key)
-    # materialise before overwriting the folder this plan reads
-    merged = merged.checkpoint(eager=True)
-    for_month_write(merged, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(EVENT_MONTH).parquet(path)
-    present = {r[0] for r in merged.select(EVENT_MONTH).distinct().collect()}
-    emptied = [m for m in touched if m not in present]
-    for m in emptied:
-        sinks.delete(spark, f"{path.rstrip('/')}/{EVENT_MONTH}={'__HIVE_DEFAULT_PARTITION__' if m is None else m}")
-    return {"mode": "merge", "touched": sorted(m for m in touched if m), "emptied": emptied}
+    delta_path = f"{path.rstrip('/')}/_delta/{uuid.uuid4().hex}"
+    try:
+        src = with_event_month(src, ts_col)
+        src.write.parquet(delta_path)
+        delta = spark.read.schema(src.schema).parquet(delta_path)
+        assert_unique_keys(delta, key)
+        if not V.exists(spark, path):
+            return write_full(spark, delta.drop(EVENT_MONTH), path, key, ts_col) | {"mode": "create"}
+        touched = {r[0] for r in delta.select(EVENT_MONTH).distinct().collect()}    # one value a month
+        touched |= set(months_of_keys(spark, delta, path, key))
+        if not touched:
+            return {"mode": "merge", "touched": [], "emptied": [], "version": V.versions(spark, path)[-1]}
+        add_keys(spark, delta, path, key)
+        affected = V.read(spark, path, touched)
+        merged = merge_into(affected, delta.select(*affected.columns), key)
+        version = V.publish(spark, for_month_write(merged, key), path, EVENT_MONTH, replace=touched)
+        present = {r["part"] for r in V.entries(spark, path, version)}
+        return {"mode": "merge", "touched": sorted(touched, key=str), "emptied": sorted(touched - present, key=str),
+                "version": version}
+    finally:
+        sinks.delete(spark, delta_path)

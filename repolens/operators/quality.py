@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import elapsed_seconds
+from ..schemas import ENTITIES, LANDED_AT, ROW_KEYS
 
 
 # ----------------------------------------------------------------- single checks
@@ -94,6 +95,26 @@ def coverage(counts: DataFrame, target: float = 0.9) -> DataFrame:
                          F.coalesce(ratio > F.lit(target), F.lit(False)).alias("meets_target"))
 
 
+def landed_coverage(ledgers: dict[str, DataFrame], raw: dict[str, DataFrame], target: float = 0.9) -> DataFrame:
+    """DQ-09 against what landed: per (entity, repository) the objects of its
+    landed files, as the ledger counted them, the rows of them that the raw
+    tables hold (a row that a full run loaded again counts once), their ratio
+    and whether it exceeds the target.  Repository pages belong to no single
+    repository: their row has none."""
+    parts = []
+    for entity, ledger in ledgers.items():
+        repo = F.lit(None).cast("string") if entity == "repositories" else F.col("repo_full_name")
+        table = ENTITIES[entity]
+        rows = raw[entity].withColumn("repo_full_name", repo).dropDuplicates(["repo_full_name", *ROW_KEYS[table], LANDED_AT])
+        both = (ledger.select(F.col("repoFullName").alias("repo_full_name"), F.col("records").alias("landed"), F.lit(0).alias("loaded"))
+                .unionByName(rows.select("repo_full_name", F.lit(0).alias("landed"), F.lit(1).alias("loaded"))))
+        parts.append(both.groupBy("repo_full_name").agg(F.sum("landed").alias("landed"), F.sum("loaded").alias("loaded"))
+                     .select(F.lit(entity).alias("entity"), "*"))
+    ratio = F.try_divide(F.col("loaded").cast("double"), F.col("landed").cast("double"))
+    return (reduce(DataFrame.unionByName, parts).withColumn("ratio", ratio)
+            .withColumn("meets_target", F.coalesce(F.col("ratio") > F.lit(target), F.lit(False))))
+
+
 def success_rate(runs: DataFrame, as_of, days: int = 30, target: float = 0.95,
                  date_col: str = "run_date") -> DataFrame:
     """DQ-10: share of successful runs in the ``days`` days ending on ``as_of``."""

@@ -74,13 +74,20 @@ def run_failures(results: DataFrame) -> DataFrame:
     return results.filter(~F.col("success")).select("entityType", "repoFullName", "errorMessage")
 
 
-def run_log_from_raw(raw: dict[str, DataFrame]) -> DataFrame:
-    """RUN-01 for a load of whole raw tables: one result row per (entity,
-    repository) with the loaded row counts; every step succeeded."""
+def run_log_from_landed(landed: dict[str, DataFrame], error) -> DataFrame:
+    """RUN-01 for a load of whole landed tables: one result row per (entity,
+    repository) with the handed and accepted row counts.  ``error(entity,
+    repository)`` gives the message of a step that failed (it loaded nothing),
+    NULL for others."""
     parts = []
     for entity, table in ENTITIES.items():
-        df = raw[table]
+        df = landed[table]
         if table == "raw_repositories":
             df = df.withColumnRenamed("full_name", "repo_full_name")
         parts.append(results_from_metrics(load_metrics(df, table, by=["repo_full_name"]), entity))
-    return reduce(DataFrame.unionByName, parts)
+    message = error(F.col("entityType"), F.col("repoFullName"))
+    zero = F.lit(0).cast("bigint")
+    return reduce(DataFrame.unionByName, parts).withColumns({
+        "errorMessage": message, "success": message.isNull(),
+        "recordsExtracted": F.when(message.isNull(), F.col("recordsExtracted")).otherwise(zero),
+        "recordsLoaded": F.when(message.isNull(), F.col("recordsLoaded")).otherwise(zero)})

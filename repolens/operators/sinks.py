@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CLUSTER_KEYS, PARTITION_COLUMN, RAW_SCHEMAS, ROW_KEYS
+from ..schemas import (CLUSTER_KEYS, LANDED_AT, PARTITION_COLUMN, RAW_SCHEMAS, ROW_KEYS, WATERMARK_SCHEMA,
+                       WATERMARK_TABLE)
 
 LAYERS = ("raw", "staging", "mart")
 
@@ -66,24 +67,33 @@ def ensure_layers(spark: SparkSession, root: str) -> list[str]:
 
 
 def ensure_tables(spark: SparkSession, root: str) -> list[str]:
-    """SNK-04: create each raw table (empty, with its schema and day
-    partition column) if it does not exist; existing tables are never altered."""
+    """SNK-04: create the five raw tables (empty, with their schema and day
+    partition column) and the table of extraction marks (its first version,
+    without rows) if they do not exist; existing tables are never altered."""
     created = []
-    for table, schema in RAW_SCHEMAS.items():
+    for table in RAW_SCHEMAS:
         p = table_path(root, "raw", table)
         if exists(spark, p):
             continue
-        empty = with_partition_column(spark.createDataFrame([], schema))
+        empty = spark.createDataFrame([], _stored_schema(table))
         empty.write.mode("errorifexists").partitionBy(PARTITION_COLUMN).parquet(p)
         created.append(table)
+    p = table_path(root, "raw", WATERMARK_TABLE)
+    if not exists(spark, p):
+        spark.createDataFrame([], WATERMARK_SCHEMA).write.mode("errorifexists").parquet(f"{p}/v=0")
+        created.append(WATERMARK_TABLE)
     return created
 
 
 def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """SRC-07: scan a raw table with its declared schema plus the day column
-    (partition pruning on ``ingestion_date``)."""
-    schema = T.StructType(list(RAW_SCHEMAS[table].fields) + [T.StructField(PARTITION_COLUMN, T.DateType())])
-    return spark.read.schema(schema).parquet(table_path(root, "raw", table))
+    """SRC-07: scan a raw table with its declared schema plus the landing
+    instant and the day column (partition pruning on ``ingestion_date``)."""
+    return spark.read.schema(_stored_schema(table)).parquet(table_path(root, "raw", table))
+
+
+def _stored_schema(table: str) -> T.StructType:
+    return T.StructType([*RAW_SCHEMAS[table].fields, T.StructField(LANDED_AT, T.TimestampNTZType()),
+                         T.StructField(PARTITION_COLUMN, T.DateType())])
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import month_start, surrogate_key, week_start
-from ..operators.dedup import latest_per_key
+from ..operators.dedup import latest_per_key, tie_breaks_for
 
 
 def activity_rows(fct_commits: DataFrame, fct_prs: DataFrame) -> DataFrame:
@@ -72,7 +72,8 @@ def language_bytes_by_month(raw_languages: DataFrame) -> DataFrame:
     """Bytes per (month, language) from the last snapshot of each
     (repo, language) inside the month; repositories counted distinct."""
     m = raw_languages.withColumn("month_start", month_start("ingestion_timestamp"))
-    last = latest_per_key(m, ["month_start", "repo_full_name", "language_name"], tie_breaks=["byte_count"])
+    keys = ["month_start", "repo_full_name", "language_name"]
+    last = latest_per_key(m, keys, tie_breaks=tie_breaks_for(m, keys))
     return last.groupBy("month_start", "language_name").agg(
         F.sum("byte_count").alias("bytes"),
         F.countDistinct("repo_full_name").alias("repo_count"),
@@ -83,10 +84,20 @@ def language_usage(raw_languages: DataFrame, fct_commits: DataFrame, dim_repo: D
     """AGG-04: per (month, language): bytes and repositories from language
     snapshots, commits in repositories whose primary language it is.
     Both sides are aggregated before the (full outer) join."""
-    b = language_bytes_by_month(raw_languages)
     per_repo = (fct_commits.select("repo_id", month_start("committed_at").alias("month_start"))
                 .filter(F.col("month_start").isNotNull())
                 .groupBy("repo_id", "month_start").agg(F.count(F.lit(1)).alias("n")))
+    return language_usage_from(language_bytes_by_month(raw_languages), per_repo, dim_repo)
+
+
+def commits_by_month_repo(day_repo: DataFrame) -> DataFrame:
+    """Commits per (repo, month), rolled up from the day-by-repository table."""
+    return (day_repo.withColumn("month_start", month_start("activity_date"))
+            .groupBy("repo_id", "month_start").agg(F.sum("commits").alias("n")).filter(F.col("n") > 0))
+
+
+def language_usage_from(b: DataFrame, per_repo: DataFrame, dim_repo: DataFrame) -> DataFrame:
+    """AGG-04 from bytes by (month, language) and commits by (repo, month)."""
     langs = dim_repo.select("repo_id", F.col("primary_language").alias("language_name"))
     c = (per_repo.join(langs, "repo_id", "inner").filter(F.col("language_name").isNotNull())
          .groupBy("month_start", "language_name").agg(F.sum("n").alias("commit_count")))
@@ -105,7 +116,17 @@ def hour_grid(spark: SparkSession) -> DataFrame:
 
 def hourly_heatmap(spark: SparkSession, fct_commits: DataFrame) -> DataFrame:
     """AGG-05 / DSH-02: commits per (day_of_week, hour_of_day), all 168 cells."""
-    counts = fct_commits.groupBy("day_of_week", "hour_of_day").agg(F.count(F.lit(1)).alias("commits"))
+    return heatmap_from(spark, hour_counts(fct_commits))
+
+
+def hour_counts(fct_commits: DataFrame, *by: str) -> DataFrame:
+    """Commits per (day_of_week, hour_of_day) and the columns ``by``."""
+    return fct_commits.groupBy(*by, "day_of_week", "hour_of_day").agg(F.count(F.lit(1)).alias("commits"))
+
+
+def heatmap_from(spark: SparkSession, hours: DataFrame) -> DataFrame:
+    """AGG-05 from ``hour_counts``."""
+    counts = hours.groupBy("day_of_week", "hour_of_day").agg(F.sum("commits").alias("commits"))
     g = F.broadcast(hour_grid(spark))
     j = g.join(counts, ["day_of_week", "hour_of_day"], "left")
     return j.select("day_of_week", "hour_of_day", F.coalesce("commits", F.lit(0)).alias("commits"))

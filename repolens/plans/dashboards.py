@@ -85,15 +85,32 @@ def rolling_average(fct_commits: DataFrame) -> DataFrame:
 
 
 def rolling_average_by_author(fct_commits: DataFrame) -> DataFrame:
-    """DSH-04 per author, on the author's active days: commits in
-    [d-29, d] / 30 with a RANGE frame over the day number, so no dense
-    (author x day) table is ever built."""
+    """DSH-04 per author: commits of every calendar day between the first and
+    the last commit day of all authors, and the trailing 30-day average.
+
+    The sum of the last 30 days changes only where commits enter it (+n on
+    their day) or leave it (-n 30 days on), so the window runs over these
+    changes, at most two an active day and author.  Each stretch of days with
+    one sum is then spelt out; no table of all authors and days is shuffled or
+    sorted."""
     ad = (fct_commits.select("author_name", F.to_date("committed_at").alias("d"))
           .filter(F.col("author_name").isNotNull() & F.col("d").isNotNull())
-          .groupBy("author_name", "d").agg(F.count(F.lit(1)).alias("commits")))
-    w = Window.partitionBy("author_name").orderBy(F.unix_date("d")).rangeBetween(-(ROLLING_DAYS - 1), 0)
-    return ad.select("author_name", F.col("d").alias("activity_date"), "commits",
-                     (F.sum("commits").over(w).cast("double") / ROLLING_DAYS).alias("rolling_avg_30d"))
+          .groupBy("author_name", "d").agg(F.count(F.lit(1)).alias("n")))
+    days = _commit_days(fct_commits)
+    lo, hi = (days.select(f("d")).scalar() for f in (F.min, F.max))
+    events = F.array(F.struct(F.col("d"), F.col("n"), F.col("n").alias("change")),
+                     F.struct(F.date_add("d", ROLLING_DAYS).alias("d"), F.lit(0).cast("bigint").alias("n"), (-F.col("n")).alias("change")),
+                     F.struct(lo.alias("d"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("change")))
+    changes = (ad.select("author_name", F.explode(events).alias("e")).select("author_name", "e.*").filter(F.col("d") <= hi)
+               .groupBy("author_name", "d").agg(F.sum("n").alias("n"), F.sum("change").alias("change")))
+    w = Window.partitionBy("author_name").orderBy("d")
+    stretch = changes.select(
+        "author_name", "d", "n", F.sum("change").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("total"),
+        F.coalesce(F.date_sub(F.lead("d").over(w), 1), hi).alias("last"))
+    each = stretch.select("author_name", "d", "n", "total", F.explode(F.sequence("d", "last")).alias("activity_date"))
+    return each.select("author_name", "activity_date",
+                       F.when(F.col("activity_date") == F.col("d"), F.col("n")).otherwise(F.lit(0)).alias("commits"),
+                       (F.col("total").cast("double") / ROLLING_DAYS).alias("rolling_avg_30d"))
 
 
 def language_share(stg_languages: DataFrame) -> DataFrame:

@@ -158,11 +158,18 @@ def dsh_rolling_avg(w):
 
 
 @register("dsh_rolling_avg_author", O.sql("""
+WITH spine AS (
+  SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM commit_days),
+per_day AS (
+  SELECT author_name, CAST(committed_at AS DATE) AS d, count(*) AS commits FROM fct_commits
+  WHERE author_name IS NOT NULL AND committed_at IS NOT NULL GROUP BY 1, 2),
+dense AS (
+  SELECT a.author_name, s.d, coalesce(p.commits, 0) AS commits
+  FROM (SELECT DISTINCT author_name FROM per_day) a CROSS JOIN spine s LEFT JOIN per_day p USING (author_name, d))
 SELECT author_name, d AS activity_date, commits,
-       CAST(sum(commits) OVER (PARTITION BY author_name ORDER BY date_diff('day', DATE '1970-01-01', d)
-                               RANGE BETWEEN 29 PRECEDING AND CURRENT ROW) AS DOUBLE) / 30 AS rolling_avg_30d
-FROM (SELECT author_name, CAST(committed_at AS DATE) AS d, count(*) AS commits FROM fct_commits
-      WHERE author_name IS NOT NULL AND committed_at IS NOT NULL GROUP BY 1, 2)""", "fct_commits"))
+       CAST(sum(commits) OVER (PARTITION BY author_name ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS DOUBLE) / 30
+         AS rolling_avg_30d
+FROM dense""", "commit_days", "fct_commits"))
 def dsh_rolling_avg_author(w):
     return D.rolling_average_by_author(w.fct_commits)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .catalog import O, register
 from .operators import quality as Q
 from .queries_ops import CHECK_NOW
+from .schemas import ENTITIES, LANDED_AT, ROW_KEYS
 
 MODELS = ("raw_commits", "raw_pull_requests", "raw_reviews", "raw_repositories", "raw_languages",
           "stg_commits", "stg_pull_requests", "stg_reviews", "stg_repositories", "stg_languages",
@@ -212,3 +213,30 @@ def dq_coverage(w):
         parts.append(wr.select(F.lit(e).alias("entity"), "warehouse_rows",
                                sr.select("source_rows").scalar().alias("source_rows")))
     return Q.coverage(reduce(DataFrame.unionByName, parts))
+
+
+def _landed_sql(entity: str, table: str) -> str:
+    repo = "CAST(NULL AS VARCHAR)" if entity == "repositories" else "repo_full_name"
+    keys = ", ".join([*ROW_KEYS[table], "ingestion_timestamp"])
+    return f"""
+SELECT '{entity}' AS entity, {repo} AS repo_full_name, count(*) AS landed, 0 AS loaded
+FROM landed_{entity} GROUP BY 2
+UNION ALL
+SELECT '{entity}', repo, 0, count(*) FROM (SELECT DISTINCT {repo} AS repo, {keys} FROM {table}) GROUP BY repo"""
+
+
+@register("dq_landed_coverage", O.sql("""
+SELECT entity, repo_full_name, CAST(sum(landed) AS BIGINT) AS landed, CAST(sum(loaded) AS BIGINT) AS loaded,
+       CAST(sum(loaded) AS DOUBLE) / nullif(CAST(sum(landed) AS DOUBLE), 0) AS ratio,
+       coalesce(CAST(sum(loaded) AS DOUBLE) / nullif(CAST(sum(landed) AS DOUBLE), 0) > 0.9, false) AS meets_target
+FROM (""" + "\nUNION ALL\n".join(_landed_sql(e, t) for e, t in ENTITIES.items()) + ") GROUP BY entity, repo_full_name",
+    *[x for e, t in ENTITIES.items() for x in (f"landed_{e}", t)]))
+def dq_landed_coverage(w):
+    """DQ-09 by (entity, repository): rows of the raw tables over the objects
+    that landed, as a ledger of files counts them."""
+    ledgers = {}
+    for e, t in ENTITIES.items():
+        repo = F.lit(None).cast("string") if e == "repositories" else F.col("repo_full_name")
+        ledgers[e] = w.landed(t).select(repo.alias("repoFullName")).groupBy("repoFullName").agg(F.count(F.lit(1)).alias("records"))
+    raw = {e: w.raw(t).withColumn(LANDED_AT, F.col("ingestion_timestamp")) for e, t in ENTITIES.items()}
+    return Q.landed_coverage(ledgers, raw)

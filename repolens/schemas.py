@@ -75,11 +75,23 @@ ENTITIES: dict[str, str] = {
 }
 
 PARTITION_COLUMN = "ingestion_date"
+# When the file of a row landed (UTC wall clock); raw tables keep it behind their declared columns.
+LANDED_AT = "landed_at"
 
 # Fact tables: the timestamp that decides the event-month partition, and the merge key.
 FACT_EVENT_TS = {"fct_commits": "committed_at", "fct_pull_requests": "created_at", "fct_reviews": "submitted_at"}
 FACT_KEY = {"fct_commits": "commit_sha", "fct_pull_requests": "pr_key", "fct_reviews": "review_id"}
 
+# Files of the landing folders whose rows are in the raw tables.
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("path", S), T.StructField("modified", T.TimestampType()), T.StructField("repoFullName", S),
+    T.StructField("records", L),          # objects in the file
+    T.StructField("kept", L),             # of these, handed to the loader
+    T.StructField("waits", T.ArrayType(L)),   # pull requests of its reviews that were not in scope yet
+    T.StructField("run", TS),
+])
+
+WATERMARK_TABLE = "_extraction_metadata"
 WATERMARK_SCHEMA = T.StructType([
     T.StructField("entity_type", S, False),
     T.StructField("last_extracted_at", TS, False),
@@ -128,3 +140,6 @@ JSON_SCHEMAS: dict[str, T.StructType] = {
         T.StructField("visibility", S), T.StructField("fork", B), T.StructField("stargazers_count", L),
     ]),
 }
+# A reviews file holds either the reviews of the pull request its folder names, or an envelope a pull request.
+REVIEW_ENVELOPE = T.StructType([*JSON_SCHEMAS["reviews"].fields, T.StructField("pr_number", L),
+                                T.StructField("reviews", T.ArrayType(JSON_SCHEMAS["reviews"]))])

@@ -8,6 +8,12 @@ dimension.  Every function here is a narrow projection or an equi-join:
 snapshots are generated with ``explode`` (no cross join), joins are left
 to Catalyst/AQE (the inputs grow with scale, so nothing is forced to
 broadcast).
+
+What lands holds faulty rows (``LANDED_BUILDERS``): some have no REQUIRED key,
+so the load rejects them and they are missing from the raw tables
+(``RAW_BUILDERS``).  A rejected repository leaves commits and pull requests
+without one, a rejected pull request its reviews.  Some steps of the run log
+fail (``step_error``), and the repositories are older than the rest.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ingest import split_valid
 from .tables import TableSet
 
 # Fixed values that define the derived fixture (they must equal the
@@ -23,6 +30,10 @@ REPO_CREATED_BASE = "2020-06-01 00:00:00"
 REPO_UPDATED_BASE = "2024-01-01 00:00:00"
 SNAPSHOT_BASE = "2024-02-01 02:00:00"
 YEAR_SHIFT = 26
+REPO_SNAPSHOT_BASE = "2024-01-31 02:00:00"
+# A landed row whose source key is divisible by this has no REQUIRED column.
+FAULTY = {"repositories": 89, "commits": 97, "pull_requests": 101, "reviews": 103, "languages": 107}
+FAILING_ENTITIES, FAILING_SUFFIX, STEP_ERROR = ("commits", "pull_requests"), "7", "502 Bad Gateway"
 
 
 def _ts(text: str) -> Column:
@@ -42,16 +53,26 @@ def _snapshot_ts(snap: Column) -> Column:
     return F.timestamp_add("HOUR", snap * 24, _ts(SNAPSHOT_BASE))
 
 
+def _unless_faulty(entity: str, key: Column, value: Column) -> Column:
+    return F.when(key % FAULTY[entity] != 0, value)
+
+
+def step_error(entity: Column, repo: Column) -> Column:
+    """Message of the (entity, repository) steps that failed; NULL for others."""
+    return F.when(entity.isin(*FAILING_ENTITIES) & repo.endswith(FAILING_SUFFIX),
+                  F.concat(F.lit(STEP_ERROR + ": "), repo))
+
+
 def _repo_name(nationkey: Column, name: Column) -> Column:
     return F.concat(F.lit("org"), nationkey.cast("string"), F.lit("/"), name)
 
 
-def raw_repositories(t: TableSet) -> DataFrame:
+def landed_repositories(t: TableSet) -> DataFrame:
     cust = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     s = cust.withColumn("snap", _snapshots(F.col("c_custkey") % 3 == 0))
     k = F.col("c_custkey")
     return s.select(
-        k.alias("id"),
+        _unless_faulty("repositories", k, k).alias("id"),
         F.col("c_name").alias("name"),
         _repo_name(F.col("c_nationkey"), F.col("c_name")).alias("full_name"),
         F.concat(F.lit("org"), F.col("c_nationkey").cast("string")).alias("owner_login"),
@@ -61,11 +82,11 @@ def raw_repositories(t: TableSet) -> DataFrame:
         F.when(k % 4 == 0, "private").otherwise("public").alias("visibility"),
         (k % 7 == 0).alias("fork"),
         (F.floor(F.abs(F.col("c_acctbal"))).cast("bigint") + F.col("snap")).alias("stargazers_count"),
-        _snapshot_ts(F.col("snap")).alias("ingestion_timestamp"),
+        F.timestamp_add("HOUR", F.col("snap") * 24, _ts(REPO_SNAPSHOT_BASE)).alias("ingestion_timestamp"),
     )
 
 
-def raw_commits(t: TableSet) -> DataFrame:
+def landed_commits(t: TableSet) -> DataFrame:
     ev = t("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     cust = t("customer").select("c_custkey", "c_name", "c_nationkey")
     j = ev.join(cust, ev.user_id == cust.c_custkey, "inner")
@@ -73,7 +94,7 @@ def raw_commits(t: TableSet) -> DataFrame:
     e, u = F.col("event_id"), F.col("user_id")
     dev = F.concat(F.lit("dev"), (u % 20).cast("string"))
     return s.select(
-        F.md5(e.cast("string")).alias("sha"),
+        _unless_faulty("commits", e, F.md5(e.cast("string"))).alias("sha"),
         _repo_name(F.col("c_nationkey"), F.col("c_name")).alias("repo_full_name"),
         dev.alias("author_name"),
         F.concat(dev, F.lit("@example.com")).alias("author_email"),
@@ -87,7 +108,7 @@ def raw_commits(t: TableSet) -> DataFrame:
     )
 
 
-def raw_pull_requests(t: TableSet) -> DataFrame:
+def landed_pull_requests(t: TableSet) -> DataFrame:
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     cust = t("customer").select("c_custkey", "c_name", "c_nationkey")
     j = o.join(cust, o.o_custkey == cust.c_custkey, "inner")
@@ -97,7 +118,7 @@ def raw_pull_requests(t: TableSet) -> DataFrame:
     updated = F.timestamp_add("MINUTE", (k % 9000).cast("int"), created)
     finished = F.col("o_orderstatus") == "F"
     return s.select(
-        k.alias("number"),
+        _unless_faulty("pull_requests", k, k).alias("number"),
         _repo_name(F.col("c_nationkey"), F.col("c_name")).alias("repo_full_name"),
         F.concat(F.lit("PR "), k.cast("string"), F.lit(" v"), F.col("snap").cast("string")).alias("title"),
         F.when(F.col("o_orderstatus") == "O", "open").otherwise("Closed").alias("state"),
@@ -110,15 +131,23 @@ def raw_pull_requests(t: TableSet) -> DataFrame:
     )
 
 
-def raw_reviews(t: TableSet) -> DataFrame:
+def _orders_of_customers(t: TableSet, *columns: str) -> DataFrame:
+    """Orders with their customer's columns: joined before the line items, which
+    are then shuffled once."""
+    o = t("orders").select("o_orderkey", "o_custkey", *columns)
+    cust = t("customer").select("c_custkey", "c_name", "c_nationkey")
+    return o.join(cust, o.o_custkey == cust.c_custkey, "inner")
+
+
+def landed_reviews(t: TableSet) -> DataFrame:
     li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                               "l_returnflag", "l_linestatus", "l_shipdate")
-    o = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    cust = t("customer").select("c_custkey", "c_name", "c_nationkey")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner").join(cust, F.col("o_custkey") == cust.c_custkey, "inner")
+    o = _orders_of_customers(t, "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     rf = F.col("l_returnflag")
+    key = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     return j.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        _unless_faulty("reviews", key, key).alias("id"),
         _repo_name(F.col("c_nationkey"), F.col("c_name")).alias("repo_full_name"),
         F.col("l_orderkey").alias("pr_number"),
         F.concat(F.lit("dev"), F.col("l_suppkey").cast("string")).alias("user_login"),
@@ -131,13 +160,11 @@ def raw_reviews(t: TableSet) -> DataFrame:
     )
 
 
-def raw_languages(t: TableSet) -> DataFrame:
+def landed_languages(t: TableSet) -> DataFrame:
     li = t("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
-    o = t("orders").select("o_orderkey", "o_custkey")
-    cust = t("customer").select("c_custkey", "c_name", "c_nationkey")
+    o = _orders_of_customers(t)
     p = t("part").select("p_partkey", "p_brand")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-           .join(cust, F.col("o_custkey") == cust.c_custkey, "inner")
            .join(p, F.col("l_partkey") == p.p_partkey, "inner"))
     g = j.groupBy("c_nationkey", "c_name", "p_brand", F.year("l_shipdate").alias("y")).agg(
         F.sum("l_quantity").alias("q"), F.max("l_shipdate").alias("last_ship"))
@@ -145,18 +172,27 @@ def raw_languages(t: TableSet) -> DataFrame:
         _repo_name(F.col("c_nationkey"), F.col("c_name")).alias("repo_full_name"),
         F.col("p_brand").alias("language_name"),
         F.col("q").cast("bigint").alias("byte_count"),
-        _shift_years(F.col("last_ship")).alias("ingestion_timestamp"),
+        _unless_faulty("languages", F.col("q").cast("bigint"), _shift_years(F.col("last_ship"))).alias("ingestion_timestamp"),
     )
 
 
-RAW_BUILDERS = {
-    "raw_repositories": raw_repositories,
-    "raw_commits": raw_commits,
-    "raw_pull_requests": raw_pull_requests,
-    "raw_reviews": raw_reviews,
-    "raw_languages": raw_languages,
+LANDED_BUILDERS = {
+    "raw_repositories": landed_repositories,
+    "raw_commits": landed_commits,
+    "raw_pull_requests": landed_pull_requests,
+    "raw_reviews": landed_reviews,
+    "raw_languages": landed_languages,
 }
 
 
+def accepted(landed: DataFrame, table: str) -> DataFrame:
+    """The landed rows that the load accepts."""
+    return split_valid(landed, table)[0]
+
+
+RAW_BUILDERS = {table: (lambda t, _build=build, _table=table: accepted(_build(t), _table))
+                for table, build in LANDED_BUILDERS.items()}
+
+
 def raw_tables(t: TableSet) -> dict[str, DataFrame]:
     return {k: f(t) for k, f in RAW_BUILDERS.items()}

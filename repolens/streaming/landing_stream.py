@@ -18,14 +18,14 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.scalar import instant_wallclock
 from ..operators import ingest as ING
 from ..operators import sinks
-from ..schemas import ENTITIES, JSON_SCHEMAS
+from ..schemas import ENTITIES, JSON_SCHEMAS, LANDED_AT, REVIEW_ENVELOPE
 from ..session import checkpoint_root
-from ..sources.landing import REPO_PARTITION, language_map
+from ..sources.landing import file_path, language_map, objects, repo_of
 
 _FLATTEN = {
     "repositories": ING.to_raw_repositories,
@@ -38,21 +38,17 @@ _FLATTEN = {
 
 def _source(spark: SparkSession, landing: str, entity: str, max_files: int | None) -> DataFrame:
     path = f"{landing.rstrip('/')}/{entity}"
-    r = spark.readStream
+    r = spark.readStream.option("recursiveFileLookup", True)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if entity == "languages":
-        schema = T.StructType([T.StructField("value", T.StringType()),
-                               T.StructField(REPO_PARTITION, T.StringType())])
-        raw = r.schema(schema).option("wholetext", True).text(path)
-        return raw.select(F.col(REPO_PARTITION).alias("repo_full_name"), language_map(F.col("value")).alias("languages"))
-    schema = T.StructType(list(JSON_SCHEMAS[entity].fields))
-    if entity != "repositories":
-        schema = schema.add(REPO_PARTITION, T.StringType())
-    if entity == "reviews":
-        schema = schema.add("pr_number", T.LongType())
-    df = r.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    return df.withColumnRenamed(REPO_PARTITION, "repo_full_name") if entity != "repositories" else df
+        df = r.option("wholetext", True).text(path).withColumn("languages", language_map(F.col("value")))
+    else:
+        schema = REVIEW_ENVELOPE if entity == "reviews" else JSON_SCHEMAS[entity]
+        df = r.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    df = df.withColumn("_file", file_path()).withColumn(
+        LANDED_AT, instant_wallclock(F.col("_metadata.file_modification_time")))
+    return objects(entity, df.withColumn("repo_full_name", repo_of("_file"))).drop("_file")
 
 
 def default_checkpoint(spark: SparkSession, landing: str, root: str, entity: str) -> str:

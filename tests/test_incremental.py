@@ -4,6 +4,7 @@ import pytest
 
 from repolens.operators import incremental as INC
 from repolens.operators import merge as M
+from repolens.operators import versioned as V
 from repolens.operators import runlog as RUN
 
 TS = "sha string, author_date string"
@@ -111,9 +112,9 @@ def test_partition_scoped_merge_moves_key(spark, workdir):
     upd = spark.createDataFrame([("b", "2", dt.datetime(2024, 3, 5)), ("c", "2", dt.datetime(2024, 1, 9))], schema)
     rep = M.write_merged(spark, upd, path, "k", "ts")
     assert rep["emptied"] == ["2024-02"]
-    out = spark.read.parquet(path)
+    out = V.read(spark, path)
     assert sorted((r.k, r.v, r.event_month) for r in out.collect()) == \
         [("a", "1", "2024-01"), ("b", "2", "2024-03"), ("c", "2", "2024-01")]
     # idempotent
     M.write_merged(spark, upd, path, "k", "ts")
-    assert spark.read.parquet(path).count() == 3
+    assert V.read(spark, path).count() == 3

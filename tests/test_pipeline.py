@@ -25,7 +25,7 @@ def _land_day1(landing):
 
 
 def _facts(spark, root):
-    return {n: spark.read.parquet(f"{root}/mart/{n}").drop("event_month")
+    return {n: refresh.read_table(spark, root, "mart", n).drop("event_month")
             for n in ("fct_commits", "fct_pull_requests", "fct_reviews")}
 
 
@@ -119,10 +119,14 @@ def test_full_mode_ignores_watermarks(spark, workdir):
     refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 12, 2))
     inc = refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 13, 2))
     loaded = {(r.entityType, r.repoFullName): r.recordsLoaded for r in inc.collect()}
-    assert loaded[("commits", "octo/hello")] == 0           # both commits are older than the watermark
+    assert loaded[("commits", "octo/hello")] == 0           # no file is new
+    write_page(landing, "commits", [commit("c0", date="2024-05-11T00:00:00Z")], repo="octo/hello", page=2)
+    inc = refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 13, 3))
+    loaded = {(r.entityType, r.repoFullName): r.recordsLoaded for r in inc.collect()}
+    assert loaded[("commits", "octo/hello")] == 0           # a new file, its commit is older than the watermark
     full = refresh.run_ingest(spark, landing, root, full=True, run_instant=dt.datetime(2024, 5, 14, 2))
     loaded = {(r.entityType, r.repoFullName): r.recordsLoaded for r in full.collect()}
-    assert loaded[("commits", "octo/hello")] == 2
+    assert loaded[("commits", "octo/hello")] == 3
     assert INC.get_watermark(spark, root, "commits") == dt.datetime(2024, 5, 14, 2)   # still advanced
 
 
@@ -143,8 +147,8 @@ def test_refresh_writes_aggregate_tables(spark, workdir):
     _land_day1(landing)
     refresh.run_ingest(spark, landing, root, run_instant=dt.datetime(2024, 5, 12, 2))
     refresh.refresh_mart(spark, root, dim_end=DIM_END)
-    daily = {r.activity_date: r for r in spark.read.parquet(f"{root}/mart/agg_daily_activity").collect()}
+    daily = {r.activity_date: r for r in refresh.read_table(spark, root, "mart", "agg_daily_activity").collect()}
     assert daily[dt.date(2024, 5, 10)].commits == 1 and daily[dt.date(2024, 5, 1)].prs_created == 2
-    assert spark.read.parquet(f"{root}/mart/agg_hourly_heatmap").count() == 168
-    lang = spark.read.parquet(f"{root}/mart/agg_language_usage").collect()
+    assert refresh.read_table(spark, root, "mart", "agg_hourly_heatmap").count() == 168
+    lang = refresh.read_table(spark, root, "mart", "agg_language_usage").collect()
     assert {(r.language_name, r.bytes) for r in lang if r.bytes} == {("Java", 300), ("Shell", 100)}

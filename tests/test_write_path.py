@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from repolens.functions.scalar import utc_wallclock
-from repolens.operators import dedup, ingest, merge, runlog, sinks
+from repolens.operators import dedup, ingest, merge, runlog, sinks, versioned
 from repolens.schemas import RAW_SCHEMAS
 
 T0 = dt.datetime(2024, 5, 12, 2)
@@ -59,7 +59,7 @@ def test_merge_refuses_duplicate_keys(spark, workdir):
     merge.write_merged(spark, one, path, "k", "at")
     with pytest.raises(merge.DuplicateKeyError):
         merge.write_merged(spark, one.unionByName(one), path, "k", "at")
-    assert spark.read.parquet(path).count() == 1
+    assert versioned.read(spark, path).count() == 1
 
 
 def test_wall_clock_does_not_pass_through_the_session_zone(spark):
