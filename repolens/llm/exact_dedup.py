@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_vocab import slices
-from .stored import stored
+from .stored import packed, stored
 
 MASK_BITS = 10            # a boundary every 1024 bytes on average
 MIN_CHUNK, MAX_CHUNK = 256, 8192
@@ -163,9 +163,10 @@ def exact_dedup(docs: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
 def drop_duplicates(docs: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     keep = (exact_dedup(docs, id_bytes).filter("kept")
-            .select(F.col("doc_id").alias("__keep_id"), F.col("text_sha256").alias("__keep_sha")).distinct())
+            .select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha")).distinct())
     sha = F.sha2(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                              "abcdefghijklmnopqrstuvwxyz"), 256)
-    kept = docs.withColumn("__sha", sha).join(
-        keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__sha") == F.col("__keep_sha")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+    # the input's columns travel as one, so none of their names can clash
+    rows = docs.select(packed(docs).alias("doc"), F.col("doc_id").alias("id"), sha.alias("sha"))
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
+    return kept.dropDuplicates(["id", "sha"]).select("doc.*")

@@ -27,6 +27,8 @@ from math import gcd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .stored import packed
+
 OTHER = "other"
 _P = "__mix_"             # prefix of working columns
 
@@ -109,7 +111,7 @@ def mix(docs: DataFrame, weights: dict[str, int], block_rows: int) -> DataFrame:
 def in_mixed_order(docs: DataFrame, weights: dict[str, int], block_rows: int) -> DataFrame:
     """All rows of ``docs``, its columns, sorted in the mixed order (across
     and within partitions, so written files hold the stream in file order)."""
-    mixed = mix(docs, weights, block_rows).withColumns(
-        {f"{_P}slot": F.col("mix.slot"), f"{_P}place": F.col("mix.place")})
-    return (mixed.repartitionByRange(f"{_P}slot", f"{_P}place").sortWithinPartitions(f"{_P}slot", f"{_P}place")
-            .select(*docs.columns))
+    # the input's columns travel as one, so none of their names can clash
+    mixed = mix(docs.select(packed(docs).alias("doc"), "doc_id", "source"), weights, block_rows)
+    slot, place = F.col("mix.slot"), F.col("mix.place")
+    return mixed.repartitionByRange(slot, place).sortWithinPartitions(slot, place).select("doc.*")

@@ -8,8 +8,9 @@ what is left of it without one block into distance + 1 blocks again.  Two
 linked fingerprints are equal in at least one such pair of blocks, so
 meeting by (pair, bits) loses no link.  Meeting places with one fingerprint
 are left out by their count.  A place with more than ``TILE`` fingerprints
-is cut into tiles, and every pair of tiles meets on its own, so no task
-holds more than two tiles of it.
+is split by the bits in which its own fingerprints differ, again into
+distance + 1 blocks and as often as needed (``split_places``): a row is sent
+distance + 1 times a round, whatever the place holds.
 
 Search in a place: fingerprints are sorted by Gray rank, where neighbours
 differ in few bits.  Every ``FANOUT`` neighbours have a node that holds the
@@ -29,6 +30,7 @@ empty table gives no rows; columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .bpe_vocab import slices
 from .components import connected_components
-from .stored import stored
+from .stored import packed, stored
 
 SEED = 42
 TILE = 2048
@@ -178,11 +180,11 @@ def _search(distance: int):
             return x[:0], x[:0]
 
         for batch in batches:
-            places = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("place", "tiles")])
+            places = batch.column("place").to_numpy(zero_copy_only=False)
             fps = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             if not len(fps):
                 continue
-            cuts = np.flatnonzero((places[:, 1:] != places[:, :-1]).any(0)) + 1
+            cuts = np.flatnonzero(places[1:] != places[:-1]) + 1
             starts, ends = np.append(0, cuts), np.append(cuts, len(fps))
             src, dst = [], []
             sizes = ends - starts
@@ -197,7 +199,7 @@ def _search(distance: int):
             rest = np.ones(len(starts), bool)
             rest[two] = False
             for s, e in zip(starts[rest].tolist(), ends[rest].tolist()):
-                place = (int(places[0, s]), int(places[1, s]))
+                place = int(places[s])
                 if place != open_place:
                     if held:
                         x, y = close()
@@ -240,19 +242,52 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
                       for k, m in enumerate(meeting_masks(distance))])
     places: Column = F.xxhash64(F.col("x.k"), F.col("fp").bitwiseAND(F.col("x.m")))
     met = nodes.select("fp", F.explode(masks).alias("x")).select("fp", places.alias("place"))
-    crowds = stored(met.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    found = met.join(crowds, "place")
-    # k tiles: a row of tile a meets (a, b) for all b, coded as one number
-    k = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("k")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("k") - 1),
-                        lambda b: F.least(F.col("own"), b) * F.lit(1 << 20) + F.greatest(F.col("own"), b))
-    tiled = (found.withColumn("k", k).withColumn("own", own)
-             .select("place", F.explode(pairs).alias("tiles"), "fp"))
-    return (tiled.repartition("place", "tiles").sortWithinPartitions("place", "tiles")
+    found = []
+    while True:
+        sizes = _sizes(met)
+        # in ``distance`` bits no more than 2 ** distance fingerprints differ, and all of them link
+        many = (F.col("n") > TILE) & (F.bit_count("differ") > distance)
+        found.append(met.join(sizes.filter(~many).select("place"), "place"))
+        crowded = sizes.filter(many)
+        if crowded.isEmpty():
+            break
+        met = stored(split_places(met, crowded, distance))
+    return (reduce(DataFrame.unionByName, found).repartition("place").sortWithinPartitions("place")
             .mapInArrow(_search(distance), "src long, dst long"))
 
 
+def _sizes(met: DataFrame) -> DataFrame:
+    """Places of two or more fingerprints: how many, and in which bits they
+    differ; map-side combined."""
+    return stored(met.groupBy("place").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("differ")).filter("n > 1"))
+
+
+def split_places(met: DataFrame, crowded: DataFrame, distance: int) -> DataFrame:
+    """The fingerprints of crowded places in smaller ones.
+
+    The bits in which a place's fingerprints differ are cut into
+    ``distance`` + 1 blocks: of two at ``distance`` or fewer differing bits
+    one block is equal, so they meet again under it.  Each fingerprint goes to
+    ``distance`` + 1 places, each with a quarter fewer differing bits (at
+    distance 3), so a few rounds end with at most ``TILE`` in every place; no
+    place is ever sent in pairs of parts."""
+    bits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: i.cast("int")),
+                    lambda i: F.getbit(F.col("differ"), i) == 1)
+    n = F.size("bits")
+
+    def block(j: int) -> Column:
+        first, end = F.floor(n * j / (distance + 1)).cast("int"), F.floor(n * (j + 1) / (distance + 1)).cast("int")
+        # every bit once: their sum is their union (the sign bit's value is negative, as it should be)
+        mask = F.reduce(F.slice("bits", first + 1, end - first), F.lit(0).cast("bigint"),
+                        lambda m, i: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)))
+        return F.struct(F.lit(j).alias("j"), mask.alias("mask"))
+
+    masks = crowded.withColumn("bits", bits).select("place", F.explode(F.array(*map(block, range(distance + 1)))).alias("b"))
+    return met.join(masks, "place").select(
+        "fp", F.xxhash64("place", "b.j", F.col("fp").bitwiseAND(F.col("b.mask"))).alias("place"))
+
+
 def near_dedup(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
     """One row per input row: doc_id, row (hash of the text), fp (long),
     component_id (the smallest doc_id that links lead to, its own included),
@@ -274,7 +309,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int, distance: int) -> DataFr
     repeats, the least hash of the text)."""
     keep = (near_dedup(docs, shingle, distance).groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("first"))
-            .select(F.col("first.doc_id").alias("__keep_id"), F.col("first.row").alias("__keep_row")).distinct())
-    kept = docs.withColumn("__row", _row(docs)).join(
-        keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__row") == F.col("__keep_row")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__row"]).drop("__row")
+            .select(F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("row")).distinct())
+    # the input's columns travel as one, so none of their names can clash
+    rows = docs.select(packed(docs).alias("doc"), F.col("doc_id").alias("id"), _row(docs).alias("row"))
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (rows["row"] == keep["row"]), "left_semi")
+    return kept.dropDuplicates(["id", "row"]).select("doc.*")

@@ -1,14 +1,26 @@
-"""Lineage cuts in the shared checkpoint folder."""
+"""Lineage cuts in the shared checkpoint folder, and whole rows as one column."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder of ``spark.checkpoint.dir`` and read from
-    there: later jobs survive lost executors and don't compute it again."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as Parquet to the folder of ``spark.checkpoint.dir`` and
+    read from there: later jobs survive lost executors and don't compute it
+    again.  Plans over it know its size (a checkpoint keeps the estimate of the
+    plan before it, which grows without bound over the rounds of a loop)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, whatever they are called."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])

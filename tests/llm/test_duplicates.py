@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from repolens.llm import components, exact_dedup, simhash, suffix_dedup
+from repolens.llm import components, exact_dedup, mixing, simhash, suffix_dedup
 from repolens.llm.registry import table
 
 from .conftest import ROWS
@@ -230,7 +230,49 @@ def test_every_close_pair_meets():
         assert any(diff & m == 0 for m in masks)
 
 
-def test_tiles_keep_links(spark, monkeypatch):
+def test_a_place_of_ten_thousand_equals_brute_force(spark):
+    """All fingerprints agree in the bits of one first place; what is sent
+    stays a few rows a fingerprint."""
+    rng = np.random.default_rng(6)
+    x = np.unique(rng.integers(0, 1 << 24, 9000).astype(np.uint64) << np.uint64(40) | np.uint64(0xABCDE))
+    near = x[:1500] ^ (np.uint64(1) << rng.integers(40, 64, 1500).astype(np.uint64)) ^ (
+        np.uint64(1) << rng.integers(0, 64, 1500).astype(np.uint64))
+    x = np.unique(np.append(x, near))
+    nodes = simhash.stored(spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long"))
+    comps = {r.node: r.component for r in components.connected_components(simhash.links(nodes, 3)).collect()}
+    sets = simhash._Joined(len(x))
+    for a in range(0, len(x), 500):
+        i, j = np.nonzero(np.bitwise_count(x[a:a + 500, None] ^ x[None]) <= 3)
+        sets.join(i + a, j)
+    signed = x.view(np.int64)
+    name = {}
+    for s, v in zip(sets.of.tolist(), signed.tolist()):
+        assert name.setdefault(s, comps.get(v, v)) == comps.get(v, v)
+    assert len(set(name.values())) == len(name) < len(x)
+    # one round: every fingerprint of a crowded place goes to distance + 1 smaller ones
+    met = nodes.select("fp", F.lit(1).cast("long").alias("place"))
+    parts = simhash.split_places(met, simhash._sizes(met), 3)
+    assert parts.count() == 4 * len(x)
+    differ = simhash._sizes(parts).agg(F.max(F.bit_count("differ"))).first()[0]
+    assert differ <= 64 - 64 // 4
+    assert simhash._sizes(parts).agg(F.max("n")).first()[0] < len(x)
+
+
+def test_column_names_do_not_clash(spark):
+    """Names that the operators use inside come back with their values."""
+    names = ["mix", "__keep_id", "__sha", "__row", "id", "row", "sha", "doc", "keep_id", "keep_sha", "a.b", "place"]
+    rows = [(1, "One two three four", "src0"), (2, "one TWO three four", "src1"), (3, "else entirely here now", None), (3, None, "src0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select(
+        "*", *[F.concat(F.lit(n + " of "), F.col("doc_id")).alias(n) for n in names])
+    for out, ids in ((exact_dedup.drop_duplicates(docs), [2, 3, 3]), (simhash.drop_near_duplicates(docs, 3, 3), [1, 3, 3]),
+                     (mixing.in_mixed_order(docs, {"src0": 1, "other": 1}, 2), [1, 2, 3, 3])):
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert sorted(r.doc_id for r in got) == ids
+        assert all(r[n] == f"{n} of {r.doc_id}" for r in got for n in names)
+
+
+def test_small_places_keep_links(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TILE", 7)
     base = 0x0123456789ABCDEF
     fps = sorted({base ^ (1 << a) ^ (1 << b) for a in range(40, 52) for b in range(40, 52)})
