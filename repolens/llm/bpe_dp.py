@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_vocab import NEVER, Pieces, Vocabulary, load_spec, on_worker
@@ -152,31 +152,34 @@ def _encoded(doc_ids: list, packed: list[bytes], more: dict[str, pa.Array]) -> p
                                        "ids": pa.ListArray.from_arrays(pa.array(ends), ids)} | more)
 
 
-def _run(docs: DataFrame, tokenizer_file: str, back: bool) -> DataFrame:
+def _run(docs: DataFrame, tokenizer_file: str, back: bool, keep: dict[str, Column] | None = None) -> DataFrame:
+    keep = keep or {}
+    kept = list(keep)
     shared = docs.sparkSession.sparkContext.broadcast(load_spec(tokenizer_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = on_worker("encode", shared, Encoder)
         decoder = on_worker("decode", shared, Decoder) if back else None
 
-        def put(doc_ids, packed):
-            texts = [decoder.decode(np.frombuffer(p, np.int32)) for p in packed] if back else []
-            return _encoded(doc_ids, packed, {"text": pa.array(texts, pa.string())} if back else {})
+        def put(doc_ids, packed, rows):
+            more = {"text": pa.array([decoder.decode(np.frombuffer(p, np.int32)) for p in packed], pa.string())} if back else {}
+            return _encoded(doc_ids, packed, more | {c: rows.column(c) for c in kept})
 
         for batch in batches:
-            doc_ids, packed, held = [], [], 0
+            doc_ids, packed, held, done = [], [], 0, 0
             for doc_id, text in _texts(batch):
                 doc_ids.append(doc_id)
                 packed.append(encoder.packed(text) if text else b"")
                 held += len(text)
                 if held >= BATCH_TEXT:
-                    yield put(doc_ids, packed)
-                    doc_ids, packed, held = [], [], 0
+                    yield put(doc_ids, packed, batch.slice(done, len(doc_ids)))
+                    doc_ids, packed, held, done = [], [], 0, done + len(doc_ids)
             if doc_ids:
-                yield put(doc_ids, packed)
+                yield put(doc_ids, packed, batch.slice(done, len(doc_ids)))
 
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return src.mapInArrow(run, "doc_id long, ids array<int>" + ", text string" * back)
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c.alias(n) for n, c in keep.items()])
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in src.schema.fields[2:])
+    return src.mapInArrow(run, "doc_id long, ids array<int>" + ", text string" * back + kinds)
 
 
 def encode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
@@ -184,10 +187,10 @@ def encode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     return _run(docs, tokenizer_file, back=False)
 
 
-def round_trip(docs: DataFrame, tokenizer_file: str) -> DataFrame:
-    """``decode(encode(docs))`` in one pass: doc_id, ids and the text decoded
-    from the ids."""
-    return _run(docs, tokenizer_file, back=True)
+def round_trip(docs: DataFrame, tokenizer_file: str, keep: dict[str, Column] | None = None) -> DataFrame:
+    """``decode(encode(docs))`` in one pass: doc_id, ids, the text decoded
+    from the ids, and the expressions of ``keep`` by name."""
+    return _run(docs, tokenizer_file, back=True, keep=keep)
 
 
 def decode(encoded: DataFrame, tokenizer_file: str) -> DataFrame:

@@ -6,7 +6,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from repolens.llm import exact_dedup, toxicity
+from repolens.llm import exact_dedup, mixing, toxicity
+from repolens.llm.q_mixing import BLOCK_ROWS, WEIGHTS
 from repolens.llm.registry import table
 
 from .test_duplicates import brute_near
@@ -32,6 +33,12 @@ def test_run_equals_brute_force(spark):
     assert {r.doc_id: list(r.ids) for r in got} == want and len(got) == len(want)
     sha = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in rows}
     assert all(r.decoded_sha256 == sha[r.doc_id] and r.n_tokens == len(r.ids) for r in got)
+    # the mixture: without its stage, or if a read disturbed it, the order is another one
+    kept = docs.join(spark.createDataFrame([(i,) for i in want], "doc_id long"), "doc_id", "left_semi")
+    mixed = mixing.mix(kept, WEIGHTS, BLOCK_ROWS).select("doc_id", "mix.*").collect()
+    order = [r.doc_id for r in sorted(mixed, key=lambda r: (r.slot, r.place))]
+    assert [r.doc_id for r in sorted(got, key=lambda r: (r.mixed_file, r.mixed_row))] == order
+    assert len({(r.mixed_file, r.mixed_row) for r in got}) == len(got)
 
 
 def test_stages_return_the_columns_of_documents(spark, docs):
