@@ -9,7 +9,8 @@ of the operators in ``repolens.llm`` that the stages call.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repolens.llm import bpe_dp, exact_dedup, mixing, simhash, toxicity
@@ -42,12 +43,25 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens, ids_sha256 and decoded_sha256 (of the text
-    decoded from the ids) of every row, in the order of the rows."""
-    done = bpe_dp.round_trip(docs, public_tokenizers.path(TOKENIZER))
+    """doc_id, ids, n_tokens, ids_sha256, decoded_sha256 (of the text decoded
+    from the ids) and the place in the mixture of every row: the mixing stage
+    writes it as the order of files and of rows in a file, which later reads
+    and shuffles need not keep, so it is put down here (null if ``docs`` does
+    not come from files)."""
+    done = bpe_dp.round_trip(docs, public_tokenizers.path(TOKENIZER), _place(docs))
     return done.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                       F.sha2("text", 256).alias("decoded_sha256"))
+                       F.sha2("text", 256).alias("decoded_sha256"), "mixed_file", "mixed_row")
+
+
+def _place(docs: DataFrame) -> dict[str, Column]:
+    """Number of the file (files are written in name order) and of the row in it."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:       # rows of no file
+        return {"mixed_file": F.lit(None).cast("long"), "mixed_row": F.lit(None).cast("long")}
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1)
+    return {"mixed_file": F.when(number != "", number).cast("long"), "mixed_row": F.col("_metadata.row_index")}
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),
@@ -60,5 +74,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))      # cut the lineage: each stage runs once
+        docs = stored(stage(spark, docs, sf_dir))      # written as Parquet: each stage runs once
     return STAGES[-1][1](spark, docs, sf_dir)
