@@ -18,6 +18,7 @@ table gives no rows; columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ MASK_BITS = 10            # a boundary every 1024 bytes on average
 MIN_CHUNK, MAX_CHUNK = 256, 8192
 WINDOW = 16               # bytes that decide about a boundary
 ID_BYTES = 12
+MEMO_BYTES = 32 << 20     # chunks that a task remembers having sent
 
 
 def normalise(text: str | None) -> bytes:
@@ -90,19 +92,40 @@ def _recipes(key: int, size: int):
     return run
 
 
+class Sent:
+    """Chunks a task has sent, the least recently met forgotten first.  One
+    that is forgotten is sent again, so only the work depends on the bound."""
+
+    def __init__(self, most: int = MEMO_BYTES):
+        self.most, self.held = most, 0
+        self.chunks: OrderedDict[tuple[bytes, bytes], None] = OrderedDict()
+
+    def new(self, pair: tuple[bytes, bytes]) -> bool:
+        if pair in self.chunks:
+            self.chunks.move_to_end(pair)
+            return False
+        self.chunks[pair] = None
+        self.held += len(pair[1])
+        while self.held > self.most and len(self.chunks) > 1:
+            self.held -= len(self.chunks.popitem(last=False)[0][1])
+        return True
+
+
 def _chunks(key: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Sent()
         for batch in (part for whole in batches for part in slices(whole, 1024)):
-            seen: dict[tuple[bytes, bytes], None] = {}    # distinct chunks of one batch
+            out: list[tuple[bytes, bytes]] = []
             for text in batch.column("text").to_pylist():
                 data = normalise(text)
                 a = 0
                 for b in cuts(data):
                     c = data[a:b]
-                    seen[chunk_id(c, key, size), c] = None
+                    if sent.new(pair := (chunk_id(c, key, size), c)):
+                        out.append(pair)
                     a = b
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in seen], pa.binary()), pa.array([c for _, c in seen], pa.binary())],
+                [pa.array([k for k, _ in out], pa.binary()), pa.array([c for _, c in out], pa.binary())],
                 ["chunk_id", "chunk"])
     return run
 
@@ -113,7 +136,8 @@ def recipes(docs: DataFrame, key: int = 0, size: int = ID_BYTES) -> DataFrame:
 
 
 def chunks(docs: DataFrame, key: int = 0, size: int = ID_BYTES) -> DataFrame:
-    """Chunks with their identifiers, distinct within a batch of rows."""
+    """Chunks with their identifiers; a task does not send one again that it
+    remembers, so a chunk of all documents moves once a task."""
     return docs.select("text").mapInArrow(_chunks(key, size), "chunk_id binary, chunk binary")
 
 
@@ -131,9 +155,8 @@ def _ambiguous(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def ambiguous_ids(chunk_rows: DataFrame) -> DataFrame:
     """Identifiers that stand for different byte strings (normally none).
-    Every batch sends a chunk once, so a chunk that all documents share
-    arrives once per batch; neighbours of the sorted rows are compared, and
-    no group is gathered."""
+    A chunk that all documents share arrives once per task; neighbours of the
+    sorted rows are compared, and no group is gathered."""
     return (chunk_rows.repartition("chunk_id").sortWithinPartitions("chunk_id")
             .mapInArrow(_ambiguous, "chunk_id binary"))
 

@@ -156,6 +156,24 @@ def test_clashing_identifiers_are_found_and_drawn_anew(spark):
     assert sorted(got) == sorted(exact_dedup.exact_dedup(df).select("doc_id", "keep_id").collect())
 
 
+def test_a_chunk_of_all_documents_moves_once_a_task(spark):
+    shared = "".join(f"line {i} of a licence that all files carry\n" for i in range(2000))
+    df = spark.range(4000, numPartitions=4).select(F.col("id").alias("doc_id"), F.concat(F.lit(shared), F.col("id")).alias("text"))
+    sizes = [r["count"] for r in exact_dedup.chunks(df).groupBy("chunk_id").count().collect()]
+    assert max(sizes) <= 4 and exact_dedup.ambiguous_ids(exact_dedup.chunks(df)).isEmpty()
+    assert exact_dedup.exact_dedup(df).filter("kept").count() == 4000
+
+
+def test_what_a_task_remembers_is_bounded():
+    """A chunk that was forgotten is sent again; one with the same identifier
+    and other bytes is always sent."""
+    sent = exact_dedup.Sent(30)
+    assert sent.new((b"a", b"x" * 10)) and sent.new((b"a", b"y" * 10)) and not sent.new((b"a", b"x" * 10))
+    assert sent.new((b"b", b"z" * 20)) and sent.held == 30                 # forgets y, met longest ago
+    assert not sent.new((b"a", b"x" * 10)) and sent.new((b"a", b"y" * 10))
+    assert sent.new((b"c", b"w" * 50)) and list(sent.chunks) == [(b"c", b"w" * 50)] and sent.held == 50
+
+
 def test_cuts_depend_on_nearby_bytes():
     rng = np.random.default_rng(1)
     a = bytes(rng.integers(97, 123, 40_000).astype(np.uint8))
