@@ -95,12 +95,16 @@ def range_cuts(ids: DataFrame, rows_per_range: int) -> tuple[list[int], int | No
     return sorted({c for c in row["cuts"] if c > row["least"]}), row["least"]
 
 
+def _array(cuts: list[int]) -> Column:
+    return F.expr(f"cast(split('{','.join(map(str, cuts))}', ',') as array<bigint>)")
+
+
 def _with_range(rows: DataFrame, cuts: list[int]) -> DataFrame:
     """``rows`` with the number of cut points up to ``ord``, by binary search
     (a projection a step; lambda variables would keep Spark from reading one
     exchange twice)."""
     rows = rows.withColumn("at", F.lit(0))
-    held = F.expr(f"cast(split('{','.join(map(str, cuts))}', ',') as array<bigint>)") if cuts else None
+    held = _array(cuts) if cuts else None
     for bit in range(len(cuts).bit_length() - 1, -1, -1):
         step = 1 << bit
         reached = F.coalesce(F.get(held, F.col("at") + (step - 1)) <= F.col("ord"), F.lit(False))
@@ -115,8 +119,8 @@ def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
     src = src.withColumn("ord", F.coalesce("doc_id", F.lit(_FIRST)))
     cuts, least = range_cuts(src.select("ord"), rows_per_range)
     last = len(cuts)
-    firsts = F.expr(f"array_contains(cast(split('{','.join(map(str, cuts))}', ',') as array<bigint>), ord)") \
-        if cuts else F.lit(False)
+    # the search below has found the last cut point up to ``ord``
+    firsts = F.coalesce(F.get(_array(cuts), F.col("at") - 1) == F.col("ord"), F.lit(False)) if cuts else F.lit(False)
 
     def place(r: Column, guest: bool) -> Column:
         return F.struct(r.cast("int").alias("range"), F.lit(guest).alias("guest"))

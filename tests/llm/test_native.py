@@ -1,6 +1,8 @@
 """Chat formatting, mixing and fingerprints; oracle SQL of the package."""
 
 import hashlib
+import re
+from collections import Counter
 from fractions import Fraction
 
 import pytest
@@ -95,8 +97,58 @@ def test_edited_texts_and_successors(spark):
     assert whole == {d: r.fingerprint for d, r in got.items()}       # ranges don't show
 
 
+def sampled(text):
+    """The samples of a text in plain Python, from the same hashes."""
+    from math import floor, log
+
+    from xxhash import xxh64_intdigest
+
+    def hashed(value, size, seed=42):
+        return xxh64_intdigest((value % 2 ** (8 * size)).to_bytes(size, "little"), seed)
+
+    best = [cws.NOTHING] * cws.SAMPLES
+    counts = Counter(w for w in re.split("[ \t\n\x0b\f\r]+", text.lower()) if w)
+    for word, n in counts.items():
+        term = xxh64_intdigest(word.encode(), 42)
+        for k in range(cws.SAMPLES):
+            h = hashed(k, 4, hashed(term, 8))
+            g = hashed(7, 4, hashed(h, 8))
+            u1, u2, u3, u4, b = (((x >> s) % 2 ** bits + 0.5) / 2 ** bits for x, s, bits in (
+                (h, 32, 32), (h, 0, 32), (g, 40, 24), (g, 16, 24), (g, 0, 16)))
+            r, c = -log(u1 * u2), -log(u3 * u4)
+            t = floor(log(n) / r + b)
+            ln_a = log(c) - r * (t - b + 1)
+            mark = hashed(t, 8, hashed(h, 8)) % 2**32
+            best[k] = min(best[k], int((ln_a + 121) * 2**24) << 32 | mark)
+    return best
+
+
+def test_fingerprints_equal_samples_taken_one_by_one(spark):
+    texts = ["a b c a", "A  b\tc\nd " * 9, "", None, "naïve École 日本 🤪 naïve", "one", "one one one two", "b c d e f g"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = cws.fingerprints(df, rows_per_range=3).orderBy("doc_id").collect()
+    whole = [t or "" for t in texts]
+    for i, r in enumerate(got):
+        own, following = whole[i], whole[(i + 1) % len(whole)]
+        edited = own[:len(own) - len(own) // 2] + following[:len(own) // 2]
+        want, other, after = sampled(own), sampled(edited), sampled(following)
+        assert r.fingerprint == want and r.edited_fingerprint == other
+        assert r.near_edited == sum(x == y for x, y in zip(want, other)) / cws.SAMPLES
+        assert r.near_next == sum(x == y for x, y in zip(want, after)) / cws.SAMPLES
+
+
+def test_error_of_one_pair(spark):
+    """A pair's likeness strays from its similarity by sqrt(s (1 - s) / SAMPLES)."""
+    from math import sqrt
+    n = 400
+    df = spark.createDataFrame([(2 * i + k, " ".join(f"{w}{i}" for w in t.split())) for i in range(n)
+                                for k, t in enumerate(("a b c d e f", "a b c d x y"))], "row long, text string")
+    fp = {r.row: r.fingerprint for r in cws.sign(df, ["row"]).collect()}
+    off = [sum(p == q for p, q in zip(fp[2 * i], fp[2 * i + 1])) / cws.SAMPLES - 0.5 for i in range(n)]
+    assert abs(sum(off) / n) < 0.015 and abs(sqrt(sum(x * x for x in off) / n) - sqrt(0.25 / cws.SAMPLES)) < 0.012
+
+
 def test_collisions_follow_the_generalised_jaccard_similarity(spark):
-    from collections import Counter
     texts = [("a b c d e f g h " * 3, "a b c d e f g h "), ("a b c d e f g h i j", "a b c d e k l m n o"),
              ("a a a a b b c", "a b b b c c c d")]
     errors = []
