@@ -8,9 +8,12 @@ all of them in one product.
 
 Features are the counts of hashed 1-, 2- and 3-grams of the text's letters
 (lower-cased, anything else is one space), square-rooted and of length 1.
-Training fits on at most ``TRAIN_PER_LANGUAGE`` whole texts of each language
-value (those of least hash of doc_id; of rows that repeat a doc_id the least
-text); the bound is the same at every size.
+Training fits on at most ``TRAIN_PER_LANGUAGE`` whole texts of each of the
+``LANGUAGES`` values of ``lang`` with most documents (texts of least hash of
+doc_id; of rows that repeat a doc_id the least text).  Both bounds are the
+same at every size: values beyond them, misspellings for instance, are not
+learned.  Texts are counted where they are; the driver gets a row's n-gram
+counts, at most 2^``BITS`` whatever the text's length.
 
 Defined results: a null text or one without a letter is ``und`` with score
 0; without any training row every text is ``und``; with one learned language
@@ -36,6 +39,7 @@ from .toxicity import held_out
 
 BITS = 13
 TRAIN_PER_LANGUAGE = 400
+LANGUAGES = 100           # there is a machine for each pair of values of a family
 SPARE = 4                 # a sketch counts the rows: its error is a few hundredths
 EPOCHS, BATCH, PENALTY = 30, 64, 1e-5
 SLICE = 1 << 20           # code points of a text that are worked on at once
@@ -90,9 +94,13 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     return counts if any_letter else None
 
 
+def scaled(counts: np.ndarray) -> np.ndarray:
+    return np.sqrt(counts / counts.sum()).astype(np.float32)
+
+
 def feature(text: str | None) -> np.ndarray | None:
     counts = ngram_counts(text)
-    return None if counts is None else np.sqrt(counts / counts.sum()).astype(np.float32)
+    return None if counts is None else scaled(counts)
 
 
 def machine(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float]:
@@ -118,8 +126,8 @@ def machine(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple[np.
     return (mean_w, mean_b) if steps else (w, b)
 
 
-def train(texts: list[str], langs: list[str], seed: int = 0) -> dict[str, Any] | None:
-    rows = [(f, lang) for t, lang in zip(texts, langs) if (f := feature(t)) is not None]
+def train(features: list[np.ndarray | None], langs: list[str], seed: int = 0) -> dict[str, Any] | None:
+    rows = [(f, lang) for f, lang in zip(features, langs) if f is not None]
     if not rows:
         return None
     rng = np.random.default_rng(seed)
@@ -176,12 +184,14 @@ class Predictor:
         return out
 
 
-def fit(docs: DataFrame) -> dict[str, Any] | None:
+def training_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, lang and text of the rows to learn from: at most LANGUAGES x
+    TRAIN_PER_LANGUAGE, whatever repeats."""
     usable = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    # one row a language value; the model has a machine for each pair of them
-    sizes = ids.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("size"))
+    sizes = (ids.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("size"))
+             .orderBy(F.desc("size"), "lang").limit(LANGUAGES))
     # of a common language only the least hashes move: about SPARE times the rows that stay, however many tasks read it
     share = F.col("h").cast("double") / 2.0 ** 64 + 0.5
     least = (ids.join(F.broadcast(sizes), "lang")
@@ -189,11 +199,32 @@ def fit(docs: DataFrame) -> dict[str, Any] | None:
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     chosen = (least.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= TRAIN_PER_LANGUAGE)
               .select("doc_id", "lang"))
-    # bounded by languages x TRAIN_PER_LANGUAGE, whatever repeats
-    rows = (usable.join(F.broadcast(chosen), ["doc_id", "lang"])
-            .groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["lang"], r["text"] or ""))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    return (usable.join(F.broadcast(chosen), ["doc_id", "lang"])
+            .groupBy("doc_id", "lang").agg(F.min("text").alias("text")))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-gram counts of texts with a letter: buckets that occur, how often."""
+    for part in (part for batch in batches for part in slices(batch)):
+        counts = [ngram_counts(t) for t in part.column("text").to_pylist()]
+        found = [None if c is None else np.flatnonzero(c) for c in counts]
+        yield pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), part.column("lang"), pa.array(found, pa.list_(pa.int32())),
+             pa.array([None if c is None else c[f].astype(np.int64) for c, f in zip(counts, found)], pa.list_(pa.int64()))],
+            ["doc_id", "lang", "buckets", "counts"])
+
+
+def fit(docs: DataFrame) -> dict[str, Any] | None:
+    rows = (training_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+            .mapInArrow(_counted, "doc_id long, lang string, buckets array<int>, counts array<long>")
+            .filter("buckets is not null").collect())
+    features = []
+    rows = sorted(rows, key=lambda r: (r["doc_id"], r["lang"]))
+    for r in rows:
+        dense = np.zeros(1 << BITS)
+        dense[r["buckets"]] = r["counts"]
+        features.append(scaled(dense))
+    return train(features, [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, model: dict[str, Any] | None) -> DataFrame:
