@@ -6,9 +6,10 @@
   from the driver's tables, staging from raw, mart from staging and
   dimensions) -- the plan a refresh job runs for that model.
 * ``w.<name>`` / ``w.table(name)`` is the *written* table.  On first use
-  every layer is built in order and written as parquet under the shared
-  folder named by ``spark.checkpoint.dir``, keyed by the input files and
-  this package's code.  Readers then start from written tables, so
+  it and the tables it is computed from (``NEEDS``) are built in order and
+  written as parquet under the shared folder named by
+  ``spark.checkpoint.dir``, keyed by the input files and this package's
+  code; tables that no query asks for are not built.  Readers then start from written tables, so
   lineage is cut at every layer: a lost executor recomputes at most one
   layer, and dashboards read the mart as they would in production
   instead of re-deriving it.
@@ -53,6 +54,21 @@ LAYERS = RAW + STAGING + RUN_LOG + MART + AGGREGATES   # build order
 WAVES = (RAW + ("dim_date",), STAGING + RUN_LOG, ("dim_repository",), ("fct_commits", "fct_pull_requests"),
          ("fct_reviews", "agg_activity_day_repo", "agg_language_usage", "agg_hourly_heatmap"),
          ("agg_daily_activity", "agg_weekly_activity", "agg_monthly_activity"))
+# The written tables that each table is computed from (see ``build``); those
+# not named here come from the driver's tables alone.
+NEEDS = {
+    "stg_repositories": ("raw_repositories",), "stg_commits": ("raw_commits",), "stg_pull_requests": ("raw_pull_requests",),
+    "stg_reviews": ("raw_reviews",), "stg_languages": ("raw_languages",),
+    "dim_repository": ("stg_repositories",),
+    "fct_commits": ("stg_commits", "dim_repository", "dim_date"),
+    "fct_pull_requests": ("stg_pull_requests", "dim_repository", "dim_date"),
+    "fct_reviews": ("stg_reviews", "dim_repository", "dim_date", "fct_pull_requests"),
+    "agg_activity_day_repo": ("fct_commits", "fct_pull_requests"),
+    "agg_language_usage": ("raw_languages", "fct_commits", "dim_repository"),
+    "agg_hourly_heatmap": ("fct_commits",),
+    "agg_daily_activity": ("agg_activity_day_repo",), "agg_weekly_activity": ("agg_activity_day_repo",),
+    "agg_monthly_activity": ("agg_activity_day_repo",),
+}
 INPUTS = ("customer", "orders", "lineitem", "events", "part")
 
 _PKG = os.path.dirname(os.path.abspath(__file__))
@@ -114,6 +130,7 @@ class Warehouse:
         self.materialize = materialize
         self._lazy: dict[str, DataFrame] = {}
         self._root: str | None = None
+        self._ready: set[str] = set()       # tables known to be written
 
     # ------------------------------------------------------------ builders
     def build(self, name: str) -> DataFrame:
@@ -159,7 +176,7 @@ class Warehouse:
             if name not in self._lazy:
                 self._lazy[name] = self.build(name)
             return self._lazy[name]
-        root = self.ensure_materialized()
+        root = self.ensure(name)
         key = (self.spark._jsparkSession.sessionUUID(), f"{root}/{name}")
         df = _READ_CACHE.get(key)
         if df is None:
@@ -197,32 +214,57 @@ class Warehouse:
             df.write.mode("overwrite").parquet(path)
 
     def ensure_materialized(self) -> str:
-        """Write every layer once (in build order) and return the folder."""
-        if self._root is not None:
-            return self._root
-        with _lock:
-            base = _base_dir(self.spark)
-            root = f"{base}/{_fingerprint(self.spark, self.sf_dir, self.dim_end)}"
-            if not sinks.exists(self.spark, f"{root}/_COMPLETE"):
-                tmp = f"{base}/_building-{uuid.uuid4().hex}"
-                self._root = tmp          # builders of later layers read earlier ones from here
-                try:
-                    with ThreadPoolExecutor(max_workers=6) as pool:
-                        for wave in WAVES:
-                            jobs = [pool.submit(self._write, name, f"{tmp}/{name}") for name in wave]
-                            for j in jobs:
-                                j.result()
-                    fs, src = sinks._fs(self.spark, tmp)
-                    dst = sinks._fs(self.spark, root)[1]
-                    if fs.exists(dst):
-                        sinks.delete(self.spark, tmp)   # another writer published the same content first
-                    elif not fs.rename(src, dst):
-                        raise OSError(f"could not publish {tmp} as {root}")
-                    fs.create(sinks._fs(self.spark, f"{root}/_COMPLETE")[1], True).close()
-                except BaseException:
-                    sinks.delete(self.spark, tmp)   # a half-built folder is never published
-                    raise
-                finally:
-                    self._root = None
-            self._root = root
-        return root
+        """Write every table that is not there yet and return the folder."""
+        return self.ensure(*LAYERS)
+
+    def ensure(self, *names: str) -> str:
+        """Write the tables ``names`` and those they are computed from, as far
+        as they are not there yet, and return the folder of all tables."""
+        if self._root is None:
+            self._root = f"{_base_dir(self.spark)}/{_fingerprint(self.spark, self.sf_dir, self.dim_end)}"
+        if not self._ready.issuperset(names):       # builders find what they read in ``_ready``
+            with _lock:
+                missing = self._missing(names)
+                if missing:
+                    self._build_missing(missing)
+                self._ready.update(names)
+        return self._root
+
+    def _written(self, name: str) -> bool:
+        if name not in self._ready and sinks.exists(self.spark, f"{self._root}/{name}/_COMPLETE"):
+            self._ready.add(name)
+        return name in self._ready
+
+    def _missing(self, names) -> set[str]:
+        out: set[str] = set()
+        todo = list(names)
+        while todo:
+            name = todo.pop()
+            if name not in out and not self._written(name):
+                out.add(name)
+                todo.extend(NEEDS.get(name, ()))
+        return out
+
+    def _build_missing(self, missing: set[str]) -> None:
+        tmp = f"{_base_dir(self.spark)}/_building-{uuid.uuid4().hex}"
+        try:
+            with ThreadPoolExecutor(max_workers=6) as pool:
+                for wave in WAVES:
+                    todo = [name for name in wave if name in missing]
+                    jobs = [pool.submit(self._write, name, f"{tmp}/{name}") for name in todo]
+                    for j in jobs:
+                        j.result()
+                    for name in todo:
+                        self._publish(name, f"{tmp}/{name}")
+        finally:
+            sinks.delete(self.spark, tmp)   # a half-written table is never published
+
+    def _publish(self, name: str, written: str) -> None:
+        path = f"{self._root}/{name}"
+        fs, dst = sinks._fs(self.spark, path)
+        fs.mkdirs(dst.getParent())
+        # if it exists, another writer published the same content first
+        if not fs.exists(dst) and not fs.rename(sinks._fs(self.spark, written)[1], dst):
+            raise OSError(f"could not publish {written} as {path}")
+        fs.create(sinks._fs(self.spark, f"{path}/_COMPLETE")[1], True).close()
+        self._ready.add(name)

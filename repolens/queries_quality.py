@@ -20,6 +20,7 @@ SUITE = Q.REFERENCE_SUITE + Q.SOURCE_FRESHNESS + Q.SPECIFIED_SUITE
 
 
 def _models(w) -> dict[str, DataFrame]:
+    w.ensure(*MODELS)       # at once, so independent tables are written side by side
     return {m: getattr(w, m) for m in MODELS}
 
 
