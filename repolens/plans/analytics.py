@@ -69,14 +69,15 @@ def monthly_activity(day_repo: DataFrame) -> DataFrame:
 
 
 def language_bytes_by_month(raw_languages: DataFrame) -> DataFrame:
-    """Bytes per (month, language) from the last snapshot of each
-    (repo, language) inside the month; repositories counted distinct."""
+    """Bytes and repositories per (month, language) from the last snapshot of
+    each (repo, language) inside the month: one row a repository, so counting
+    rows (that name one) counts distinct repositories."""
     m = raw_languages.withColumn("month_start", month_start("ingestion_timestamp"))
     keys = ["month_start", "repo_full_name", "language_name"]
     last = latest_per_key(m, keys, tie_breaks=tie_breaks_for(m, keys))
     return last.groupBy("month_start", "language_name").agg(
         F.sum("byte_count").alias("bytes"),
-        F.countDistinct("repo_full_name").alias("repo_count"),
+        F.count("repo_full_name").alias("repo_count"),
     )
 
 

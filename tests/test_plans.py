@@ -63,3 +63,17 @@ def test_incremental_mark_prunes_day_partitions(spark, workdir):
 def test_registered_incremental_query_pushes_mark(spark):
     p = _plan(E.queries()["inc_newer_than_target"](spark, SF))
     assert "PushedFilters: [IsNotNull(ingestion_timestamp), GreaterThan(ingestion_timestamp" in p
+
+
+def test_language_bytes_are_summed_without_a_second_distinct_step(spark):
+    """One row a (month, repository, language) is left, so no task holds a map of them again."""
+    from repolens.plans.analytics import language_bytes_by_month
+    t = dt.datetime
+    rows = [("o/a", "Java", 5, t(2024, 1, 3)), ("o/a", "Java", 7, t(2024, 1, 9)), ("o/a", "Java", 9, t(2024, 2, 1)),
+            ("o/b", "Java", 1, t(2024, 1, 3)), ("o/b", "Java", 1, t(2024, 1, 3)), (None, "Java", 2, t(2024, 1, 3)),
+            ("o/a", None, 4, t(2024, 1, 3)), ("o/b", None, None, t(2024, 1, 3)), (None, "C", 3, t(2024, 1, 3))]
+    raw = spark.createDataFrame(rows, "repo_full_name string, language_name string, byte_count long, ingestion_timestamp timestamp_ntz")
+    out = language_bytes_by_month(raw)
+    assert _plan(out).count("HashAggregate") == 2
+    got = {(r.month_start.month, r.language_name): (r.bytes, r.repo_count) for r in out.collect()}
+    assert got == {(1, "Java"): (10, 2), (2, "Java"): (9, 1), (1, None): (4, 2), (1, "C"): (3, 0)}
