@@ -56,14 +56,16 @@ def _repo_keys(dim_repo: DataFrame) -> DataFrame:
 def fct_commits(stg: DataFrame, dim_repo: DataFrame, dim_dt: DataFrame) -> DataFrame:
     r = _repo_keys(dim_repo)
     d = _date_keys(dim_dt, "c")
-    j = (stg.join(r, stg.repo_full_name == r._repo_name, "left")
-            .join(d, F.to_date(stg.authored_at) == F.col("c_full_date"), "left"))
+    # only the part of the message that the fact keeps goes through the join
+    c = stg.withColumn("commit_message", left_chars("commit_message", 100))
+    j = (c.join(r, c.repo_full_name == r._repo_name, "left")
+          .join(d, F.to_date(c.authored_at) == F.col("c_full_date"), "left"))
     return j.select(
         "commit_sha", "repo_id",
         F.col("c_date_key").alias("date_key"),
         F.col("authored_at").alias("committed_at"),
         "hour_of_day", "day_of_week", "author_name", "author_email",
-        left_chars("commit_message", 100).alias("message_first_line"),
+        F.col("commit_message").alias("message_first_line"),
         F.col("lines_added").alias("additions"),
         F.col("lines_deleted").alias("deletions"),
         F.col("files_changed").alias("changed_files"),
@@ -103,9 +105,10 @@ def fct_reviews(stg: DataFrame, dim_repo: DataFrame, dim_dt: DataFrame, fct_prs:
     r = _repo_keys(dim_repo)
     d = _date_keys(dim_dt, "s")
     prs = fct_prs.select(F.col("pr_key").alias("_pr_key"))
-    rv = stg.withColumn("_rv_key", pr_key("repo_full_name", "pr_number"))
-    j = (rv.join(r, rv.repo_full_name == r._repo_name, "left")
-           .join(prs, F.col("_rv_key") == F.col("_pr_key"), "left")
+    # the key is composed after the first join, so only its parts go through it
+    rv = (stg.join(r, stg.repo_full_name == r._repo_name, "left")
+             .withColumn("_rv_key", pr_key("repo_full_name", "pr_number")))
+    j = (rv.join(prs, F.col("_rv_key") == F.col("_pr_key"), "left")
            .join(d, F.to_date(rv.submitted_at) == F.col("s_full_date"), "left"))
     return j.select(
         "review_id", "repo_id",

@@ -77,3 +77,14 @@ def test_language_bytes_are_summed_without_a_second_distinct_step(spark):
     assert _plan(out).count("HashAggregate") == 2
     got = {(r.month_start.month, r.language_name): (r.bytes, r.repo_count) for r in out.collect()}
     assert got == {(1, "Java"): (10, 2), (2, "Java"): (9, 1), (1, None): (4, 2), (1, "C"): (3, 0)}
+
+
+def test_joins_of_facts_carry_narrow_rows(spark):
+    """Through the join with repositories go neither the reviews' composed keys nor the commits' whole messages."""
+    lines = _plan(E.queries()["fct_reviews"](spark, SF)).splitlines()
+    repo = max(i for i, x in enumerate(lines) if "Join" in x and "_repo_name" in x)
+    assert max(i for i, x in enumerate(lines) if "concat(repo_full_name" in x) < repo
+    lines = _plan(E.queries()["fct_commits"](spark, SF)).splitlines()
+    repo = max(i for i, x in enumerate(lines) if "Join" in x and "_repo_name" in x)
+    cut = max(i for i, x in enumerate(lines) if "commit_message" in x and "100" in x and "Project" in x)
+    assert cut > repo
