@@ -12,6 +12,7 @@ class differently are split by a pattern of the library's own classes.
 
 from __future__ import annotations
 
+import gc
 import json
 from functools import cache
 from typing import Any
@@ -164,13 +165,16 @@ _BUILT: dict[str, tuple[Any, Any]] = {}
 
 def on_worker(kind: str, broadcast, build):
     """``build(broadcast.value)``, made once per worker process and broadcast.
-    Only the last one of a kind is kept: a worker outlives many jobs."""
+    Only what comes from the last broadcast is kept, whatever its kind: a
+    worker outlives many jobs, and what one stage has built would take room
+    in all later ones."""
     value = broadcast.value
-    known = _BUILT.get(kind)
-    if known is None or known[0] is not value:
-        _BUILT.pop(kind, None)
-        known = _BUILT[kind] = (value, build(value))
-    return known[1]
+    if any(known is not value for known, _ in _BUILT.values()):
+        _BUILT.clear()
+        gc.collect()        # what was built may hold itself by its bound methods
+    if kind not in _BUILT:
+        _BUILT[kind] = (value, build(value))
+    return _BUILT[kind][1]
 
 
 def slices(batch, rows: int = 256):

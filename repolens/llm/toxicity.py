@@ -271,7 +271,7 @@ class Scorer:
 
     def _forget(self) -> None:
         self.rows: dict[str, int] = {}
-        self.gates = np.zeros((0, 6 * HIDDEN), np.float32)
+        self.gates = np.zeros((KNOWN_WORDS, 6 * HIDDEN), np.float32)
         self._add([""])
 
     def _add(self, words: list[str]) -> None:
@@ -280,8 +280,11 @@ class Scorer:
             return
         gram, first = grams([w or "\x00" for w in new])
         _, gates = gate_inputs(self.p, np.array([self.vocabulary.get(w, 0) for w in new]), gram, first)
-        self.rows.update(zip(new, range(len(self.gates), len(self.gates) + len(new))))
-        self.gates = np.concatenate([self.gates, gates.astype(np.float32)])
+        known, end = len(self.rows), len(self.rows) + len(new)
+        if end > len(self.gates):       # by one group's words at most: scores() forgets before the next
+            self.gates = np.concatenate([self.gates[:known], np.zeros((len(new), 6 * HIDDEN), np.float32)])
+        self.gates[known:end] = gates
+        self.rows.update(zip(new, range(known, end)))
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if len(self.rows) > KNOWN_WORDS:
@@ -305,7 +308,7 @@ class Scorer:
         return sigmoid(np.maximum.reduceat(logits, first).astype(np.float64))
 
 
-def _groups(texts: list[str | None], most: int = 1 << 20) -> Iterator[list[str]]:
+def _groups(texts: list[str | None], most: int = 1 << 18) -> Iterator[list[str]]:
     """Texts in groups of about ``most`` code points."""
     group, held = [], 0
     for t in texts:

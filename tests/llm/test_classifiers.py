@@ -212,3 +212,17 @@ def test_rows_to_learn_from_stay_bounded(spark):
     labels = spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     rows = toxicity.training_rows(docs, labels, 1, 10).collect()
     assert len(rows) == 10 == len({r.doc_id for r in rows}) and all(r.text == f"text {r.doc_id}" for r in rows)
+
+
+def test_inputs_of_words_stay_in_one_table(monkeypatch):
+    model = toxicity.train(["you are a stupid fool", "a nice day it is", "stupid stupid you", "the day is long"] * 6, [1, 0, 1, 0] * 6)
+    texts = [" ".join(f"w{i}x{j % 7}" for j in range(i, i + 9)) + " stupid" * (i % 3 == 0) for i in range(12)]
+    want = [toxicity.Scorer(model).scores([t])[0] for t in texts]
+    scorer = toxicity.Scorer(model)
+    table = scorer.gates
+    assert np.allclose(scorer.scores(texts), want, atol=1e-6) and scorer.gates is table     # no copy for new words
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 20)
+    scorer = toxicity.Scorer(model)
+    for _ in range(2):      # more words than the table holds, in one group and in many
+        assert np.allclose(scorer.scores(texts), want, atol=1e-6) and len(scorer.rows) <= len(scorer.gates)
+        assert np.allclose([scorer.scores([t])[0] for t in texts], want, atol=1e-6) and len(scorer.gates) < 40

@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import weakref
 
 import public_tokenizers
 import pytest
 import regex
 from tokenizers import Tokenizer
 
-from repolens.llm import bpe_dp, token_count
+from repolens.llm import bpe_dp, bpe_vocab, token_count
 from repolens.llm.bpe_vocab import Vocabulary, load_spec
 
 from .conftest import ROWS
@@ -104,3 +105,26 @@ def test_operators_on_odd_rows(docs, no_docs, library):
     assert sorted(hashlib.sha256(r.text.encode()).hexdigest() for r in again) == sorted(
         hashlib.sha256((t or "").encode()).hexdigest() for _, t, *_ in ROWS)
     assert token_count.count_tokens(no_docs, PATH, 10).count() == bpe_dp.round_trip(no_docs, PATH).count() == 0
+
+
+def test_worker_keeps_what_the_last_broadcast_built(monkeypatch):
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    class Table:
+        def __init__(self, value):
+            self.value, self.own = value, self.look      # holds itself, as Pieces and Memo do
+
+        def look(self):
+            return self.value
+
+    monkeypatch.setattr(bpe_vocab, "_BUILT", {})
+    one, two = Sent(["spec"]), Sent(["model"])
+    encoder, decoder = (bpe_vocab.on_worker(k, one, Table) for k in ("encode", "decode"))
+    assert bpe_vocab.on_worker("encode", one, Table) is encoder and bpe_vocab.on_worker("decode", one, Table) is decoder
+    gone = [weakref.ref(encoder), weakref.ref(decoder)]
+    del encoder, decoder
+    scorer = bpe_vocab.on_worker("toxicity", two, Table)
+    assert scorer.value is two.value and [r() for r in gone] == [None, None]
+    assert bpe_vocab.on_worker("encode", one, Table).value is one.value and list(bpe_vocab._BUILT) == ["encode"]
