@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_vocab import slices
-from .stored import packed, stored
+from .stored import rows_of, stored
 
 MASK_BITS = 10            # a boundary every 1024 bytes on average
 MIN_CHUNK, MAX_CHUNK = 256, 8192
@@ -76,7 +76,7 @@ def chunk_id(chunk: bytes, key: int, size: int = ID_BYTES) -> bytes:
 def _recipes(key: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 1024)):
-            recipes, shas, lengths = [], [], []
+            recipes, shas, rows, lengths = [], [], [], []
             for text in batch.column("text").to_pylist():
                 data = normalise(text)
                 a, ids = 0, []
@@ -86,9 +86,11 @@ def _recipes(key: int, size: int):
                 recipes.append(b"".join(ids))
                 lengths.append(len(data))
                 shas.append(hashlib.sha256(data).hexdigest())
+                rows.append(hashlib.sha256((text or "").encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(recipes, pa.binary()), pa.array(lengths, pa.int64()),
-                 pa.array(shas, pa.string())], ["doc_id", "recipe", "n_bytes", "text_sha256"])
+                 pa.array(shas, pa.string()), pa.array(rows, pa.string())],
+                ["doc_id", "recipe", "n_bytes", "text_sha256", "row_sha256"])
     return run
 
 
@@ -132,7 +134,8 @@ def _chunks(key: int, size: int):
 
 def recipes(docs: DataFrame, key: int = 0, size: int = ID_BYTES) -> DataFrame:
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return src.mapInArrow(_recipes(key, size), "doc_id long, recipe binary, n_bytes long, text_sha256 string")
+    return src.mapInArrow(_recipes(key, size),
+                          "doc_id long, recipe binary, n_bytes long, text_sha256 string, row_sha256 string")
 
 
 def chunks(docs: DataFrame, key: int = 0, size: int = ID_BYTES) -> DataFrame:
@@ -171,25 +174,27 @@ def verified_recipes(docs: DataFrame, size: int = ID_BYTES) -> DataFrame:
     return recipes(docs, key, size)
 
 
-def exact_dedup(docs: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
-    """One row per input row: doc_id, keep_id (largest doc_id with an equal
-    text), group_size, kept, n_bytes, text_sha256 (of the normalised text)."""
+def _decided(docs: DataFrame, id_bytes: int) -> DataFrame:
+    """``exact_dedup`` with row_sha256 (of the text as it is) besides."""
     rows = stored(verified_recipes(docs, id_bytes))
     # map-side combined: a group of any size is one row per task here
     groups = stored(rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
     # both sides are stored, so the rows of a hot recipe can be split over tasks
     return (rows.join(groups, "recipe", "left")
-            .select("doc_id", "keep_id", "group_size",
-                    F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "n_bytes", "text_sha256"))
+            .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+                    "n_bytes", "text_sha256", "row_sha256"))
+
+
+def exact_dedup(docs: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
+    """One row per input row: doc_id, keep_id (largest doc_id with an equal
+    text), group_size, kept, n_bytes, text_sha256 (of the normalised text)."""
+    return _decided(docs, id_bytes).drop("row_sha256")
 
 
 def drop_duplicates(docs: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    keep = (exact_dedup(docs, id_bytes).filter("kept")
-            .select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha")).distinct())
-    sha = F.sha2(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-                             "abcdefghijklmnopqrstuvwxyz"), 256)
-    # the input's columns travel as one, so none of their names can clash
-    rows = docs.select(packed(docs).alias("doc"), F.col("doc_id").alias("id"), sha.alias("sha"))
-    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
-    return kept.dropDuplicates(["id", "sha"]).select("doc.*")
+    # rows of a doc_id may have equal texts in other letters: one of them stays
+    keep = (_decided(docs, id_bytes).filter("kept").groupBy("doc_id", "text_sha256")
+            .agg(F.min("row_sha256").alias("mark")).select("doc_id", "mark"))
+    # texts are normalised in ``_recipes`` only; whole rows are found by the text as it is
+    return rows_of(docs, F.sha2(F.coalesce("text", F.lit("")), 256), keep)

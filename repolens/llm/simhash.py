@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .bpe_vocab import slices
 from .components import connected_components
-from .stored import packed, stored
+from .stored import rows_of, stored
 
 SEED = 42
 TILE = 2048
@@ -309,8 +309,5 @@ def drop_near_duplicates(docs: DataFrame, shingle: int, distance: int) -> DataFr
     repeats, the least hash of the text)."""
     keep = (near_dedup(docs, shingle, distance).groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("first"))
-            .select(F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("row")).distinct())
-    # the input's columns travel as one, so none of their names can clash
-    rows = docs.select(packed(docs).alias("doc"), F.col("doc_id").alias("id"), _row(docs).alias("row"))
-    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (rows["row"] == keep["row"]), "left_semi")
-    return kept.dropDuplicates(["id", "row"]).select("doc.*")
+            .select(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("mark")))
+    return rows_of(docs, _row(docs), keep)

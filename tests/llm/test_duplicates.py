@@ -1,5 +1,7 @@
 """Suffix, exact and near duplicates against brute force."""
 
+import hashlib
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -290,6 +292,25 @@ def test_column_names_do_not_clash(spark):
         assert all(r[n] == f"{n} of {r.doc_id}" for r in got for n in names)
 
 
+def test_whole_rows_are_shuffled_once(spark, docs, capsys):
+    """Of all that is shuffled, whole rows (one column) are so once; texts are
+    not normalised by expressions, which make an object of each code point."""
+    for out in (exact_dedup.drop_duplicates(docs), simhash.drop_near_duplicates(docs, 3, 3)):
+        out.explain("formatted")
+        plan = capsys.readouterr().out
+        moved = re.findall(r"\n\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+        assert len(moved) > 1 and sum("doc#" in m or "first(doc)" in m or "valueSet" in m for m in moved) == 1
+        assert "translate(" not in plan
+
+
+def test_one_row_of_a_doc_id_in_other_letters_stays(spark):
+    rows = [(7, "Aa", "x"), (7, "aA", "y"), (7, "aA", "y"), (3, "aa", "z"), (None, "aa", "n"), (None, "", "e"), (None, None, "e")]
+    kept = exact_dedup.drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    least = min(["Aa", "aA"], key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert sorted((str(r.doc_id), r.text or "", r.source) for r in kept) == [
+        ("7", least, {"Aa": "x", "aA": "y"}[least]), ("None", "", "e")]
+
+
 def test_small_places_keep_links(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TILE", 7)
     base = 0x0123456789ABCDEF
