@@ -27,12 +27,12 @@ import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from .operators import merge, runlog, sinks
 from .schemas import FACT_EVENT_TS, FACT_KEY
 from .plans import analytics, mart, staging
-from .session import checkpoint_root
+from .session import CODEC, checkpoint_root, shuffles_dropped
 from .sources import fixtures
 from .sources.tables import TableSet
 
@@ -121,6 +121,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{_base_dir(spark)}/_scratch"
 
 
+def _writer(df: DataFrame) -> DataFrameWriter:
+    return df.write.mode("overwrite").option("compression", CODEC)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, dim_end=DIM_END, materialize: bool = True):
         self.spark = spark
@@ -206,12 +210,12 @@ class Warehouse:
             # (Production raw tables are day-partitioned by ``append_raw``;
             # the derived fixture spreads few rows over thousands of
             # "ingestion days", which would only make tiny files here.)
-            df.sortWithinPartitions("ingestion_timestamp").write.mode("overwrite").parquet(path)
+            _writer(df.sortWithinPartitions("ingestion_timestamp")).parquet(path)
         elif name in FACT_EVENT_TS:
             out = merge.for_month_write(merge.with_event_month(df, FACT_EVENT_TS[name]), FACT_KEY[name])
-            out.write.mode("overwrite").partitionBy(merge.EVENT_MONTH).parquet(path)
+            _writer(out).partitionBy(merge.EVENT_MONTH).parquet(path)
         else:
-            df.write.mode("overwrite").parquet(path)
+            _writer(df).parquet(path)
 
     def ensure_materialized(self) -> str:
         """Write every table that is not there yet and return the folder."""
@@ -248,7 +252,7 @@ class Warehouse:
     def _build_missing(self, missing: set[str]) -> None:
         tmp = f"{_base_dir(self.spark)}/_building-{uuid.uuid4().hex}"
         try:
-            with ThreadPoolExecutor(max_workers=6) as pool:
+            with shuffles_dropped(self.spark), ThreadPoolExecutor(max_workers=6) as pool:
                 for wave in WAVES:
                     todo = [name for name in wave if name in missing]
                     jobs = [pool.submit(self._write, name, f"{tmp}/{name}") for name in todo]

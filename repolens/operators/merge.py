@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import CODEC, shuffles_dropped
 from . import sinks
 from . import versioned as V
 
@@ -150,7 +151,8 @@ def write_merged(spark: SparkSession, src: DataFrame, path: str, key: str, ts_co
     delta_path = f"{path.rstrip('/')}/_delta/{uuid.uuid4().hex}"
     try:
         src = with_event_month(src, ts_col)
-        src.write.parquet(delta_path)
+        with shuffles_dropped(spark):
+            src.write.option("compression", CODEC).parquet(delta_path)
         delta = spark.read.schema(src.schema).parquet(delta_path)
         assert_unique_keys(delta, key)
         if not V.exists(spark, path):

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import CODEC, shuffles_dropped
 from . import sinks
 
 COMMIT = "c"
@@ -90,8 +91,9 @@ def stage(spark: SparkSession, df: DataFrame, path: str, partition: str | None =
     numbers = _numbers(spark, path)
     commit = f"{COMMIT}={numbers[-1] + 1 if numbers else 0:06d}-{uuid.uuid4().hex[:8]}"
     fields = [f for f in df.schema.fields if f.name != partition] + [f for f in df.schema.fields if f.name == partition]
-    writer = df.write.mode("errorifexists")
-    (writer.partitionBy(partition) if partition else writer).parquet(f"{_data(path)}/{commit}")
+    writer = df.write.mode("errorifexists").option("compression", CODEC)
+    with shuffles_dropped(spark):
+        (writer.partitionBy(partition) if partition else writer).parquet(f"{_data(path)}/{commit}")
     folders: list[tuple[str | None, str]] = [(None, commit)]
     if partition:
         names = [x for x in sinks.list_dirs(spark, f"{_data(path)}/{commit}") if x.startswith(f"{partition}=")]

@@ -155,11 +155,33 @@ SELECT * FROM {_s} WHERE ingestion_timestamp > (SELECT max(ingestion_timestamp)
 SELECT * FROM {_f} WHERE CAST({_ts} AS DATE) BETWEEN DATE '{BACKFILL_DAYS[_f][0]}' AND DATE '{BACKFILL_DAYS[_f][1]}'""", _f)
 
 
+# fact -> merge key and event time of its staged rows
+_STAGED = {"fct_commits": (["commit_sha"], "authored_at"), "fct_reviews": (["review_id"], "submitted_at"),
+           "fct_pull_requests": (["repo_full_name", "pr_number"], "created_at")}
+
+
+def _staged(name: str, raw: DataFrame, since=None) -> DataFrame:
+    """The staged rows of ``raw`` newer than ``since``.  Raw rows have their
+    REQUIRED columns; a merge's join would say so of its source's keys alone,
+    and the source's rows be shuffled a second time for the keys."""
+    stg, table, _, _ = _FACTS[name]
+    for c in REQUIRED[table]:
+        raw = raw.filter(F.col(c).isNotNull())
+    return getattr(staging, stg)(raw, since)
+
+
+def _of_staged(w, name: str, staged: DataFrame) -> DataFrame:
+    """The fact ``name`` of staged rows.  It looks each row up by itself and
+    keeps the key and the event time, so rows may be merged before or after:
+    before, they are still dealt by their key from the de-duplication, those
+    that the merge replaces are not looked up, and both sides are at once."""
+    more = [w.fct_pull_requests] if name == "fct_reviews" else []
+    return getattr(mart, name)(staged, w.dim_repository, w.dim_date, *more)
+
+
 def _fact(w, name: str, raw: DataFrame, since=None) -> DataFrame:
     """The fact ``name`` built from the rows of ``raw`` newer than ``since``."""
-    stg = _FACTS[name][0]
-    more = [w.fct_pull_requests] if name == "fct_reviews" else []
-    return getattr(mart, name)(getattr(staging, stg)(raw, since), w.dim_repository, w.dim_date, *more)
+    return _of_staged(w, name, _staged(name, raw, since))
 
 
 def _first_batch(w, name: str) -> DataFrame:
@@ -195,14 +217,10 @@ def merge_newer(w, name: str) -> DataFrame:
 
 def backfill_days(w, name: str) -> DataFrame:
     """The first load's fact, its backfilled days replaced by the whole
-    history's; only their months are read."""
-    _, _, key, ts = _FACTS[name]
-    first, last = BACKFILL_DAYS[name]
-    months = F.col(M.EVENT_MONTH).between(first[:7], last[:7])
-    whole = w.table(name, partitioned=True)
-    if M.EVENT_MONTH in whole.columns:
-        whole = whole.filter(months).drop(M.EVENT_MONTH)
-    return M.backfill(_fact(w, name, _first_batch(w, name)), whole, key, ts, first, last)
+    history's, which are rebuilt from the raw rows."""
+    key, ts = _STAGED[name]
+    whole = _staged(name, w.table(_FACTS[name][1], partitioned=True))
+    return _of_staged(w, name, M.backfill(_staged(name, _first_batch(w, name)), whole, key, ts, *BACKFILL_DAYS[name]))
 
 
 def _merge_sql(target: str, src: str, key: str) -> str:

@@ -8,8 +8,11 @@ arithmetic and date parts do not depend on ``spark.sql.session.timeZone``).
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +67,40 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+# Codec of the tables that jobs write: two thirds of the default's bytes.
+CODEC = "zstd"
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning: dict[str, tuple[int, str | None]] = {}      # session -> writes under way, the setting before them
+_cleaning_lock = threading.Lock()
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files: they go when the write
+    ends, not when the driver happens to collect its plan, so a job of several
+    writes holds the shuffles of one at a time.  The session's setting is put
+    back after the last of the writes that run side by side."""
+    session = spark._jsparkSession.sessionUUID()
+    with _cleaning_lock:
+        n, before = _cleaning.get(session, (0, None))
+        if n == 0:
+            before = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _cleaning[session] = n + 1, before
+    try:
+        yield
+    finally:
+        with _cleaning_lock:
+            n, before = _cleaning.pop(session)
+            if n > 1:
+                _cleaning[session] = n - 1, before
+            elif before is None:
+                spark.conf.unset(_CLEANUP)
+            else:
+                spark.conf.set(_CLEANUP, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

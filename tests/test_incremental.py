@@ -118,3 +118,33 @@ def test_partition_scoped_merge_moves_key(spark, workdir):
     # idempotent
     M.write_merged(spark, upd, path, "k", "ts")
     assert V.read(spark, path).count() == 3
+
+
+def test_staged_rows_merge_as_their_facts_do(spark):
+    """Also where repositories or pull requests repeat or are missing, and where keys, days or names are null."""
+    from types import SimpleNamespace
+
+    from repolens import queries_ops as ops
+    from repolens.plans import mart
+    from repolens.schemas import RAW_SCHEMAS
+    t = dt.datetime
+    repos = spark.createDataFrame([("o/a", 1), ("o/a", 2), ("o/b", 3)], "repo_full_name string, repo_id bigint")
+    prs = spark.createDataFrame([("o/a#1",), ("o/a#1",), ("o/b#2",), (None,)], "pr_key string")
+    w = SimpleNamespace(dim_repository=repos, dim_date=mart.dim_date(spark), fct_pull_requests=prs)
+
+    def reviews(day, *rows):
+        return spark.createDataFrame([(i, r, n, "u", f"s{day}", at, None, t(2024, 1, day)) for i, r, n, at in rows],
+                                     RAW_SCHEMAS["raw_reviews"])
+    a, b = t(2021, 3, 1), t(2022, 3, 1)
+    old = reviews(1, (1, "o/a", 1, a), (2, "o/a", 9, a), (3, "o/b", 2, b), (4, None, 2, a), (5, "o/c", None, None), (6, "o/a", 1, b))
+    new = reviews(2, (1, "o/b", 2, b), (2, "o/a", 1, a), (3, "o/a", None, None), (6, "o/a", 1, a), (7, "o/a", 1, a), (8, None, None, b))
+    stg_old, stg_new = ops._staged("fct_reviews", old), ops._staged("fct_reviews", old.unionByName(new))
+
+    def same(one, other):
+        got = sorted(map(str, one.collect()))
+        assert got == sorted(map(str, other.collect())) and len(got) > 8
+    fact = lambda staged: ops._of_staged(w, "fct_reviews", staged)
+    same(fact(M.merge_into(stg_old, stg_new, "review_id")), M.merge_into(fact(stg_old), fact(stg_new), "review_id"))
+    days = "2021-01-01", "2021-12-31"
+    same(fact(M.backfill(stg_old, stg_new, "review_id", "submitted_at", *days)),
+         M.backfill(fact(stg_old), fact(stg_new), "review_id", "submitted_at", *days))

@@ -88,3 +88,14 @@ def test_joins_of_facts_carry_narrow_rows(spark):
     repo = max(i for i, x in enumerate(lines) if "Join" in x and "_repo_name" in x)
     cut = max(i for i, x in enumerate(lines) if "commit_message" in x and "100" in x and "Project" in x)
     assert cut > repo
+
+
+@pytest.mark.parametrize("name", ["inc_backfill_reviews"])
+def test_source_of_a_merge_is_shuffled_once(spark, name):
+    """Its rows and its keys come from one shuffle, and the merged rows are looked up once."""
+    df = E.queries()[name](spark, SF)
+    df.collect()
+    lines = _plan(df).split("Initial Plan")[0].splitlines()
+    own = [x for x in lines if "Exchange hashpartitioning(id#" in x and "Reused" not in x]
+    assert len(own) == 2 and sum("ReusedExchange" in x for x in lines) >= 1, "\n".join(lines)
+    assert sum("Join" in x and "_repo_name" in x for x in lines) == 1
