@@ -249,13 +249,13 @@ def written_merge(w, name: str) -> DataFrame:
 
 
 def written_backfill(w, name: str) -> DataFrame:
-    """INC-10 as a job: the whole history's rows of some days merged into the
-    published fact, in one commit."""
-    _, _, key, ts = _FACTS[name]
+    """INC-10 as a job: the whole history's rows of some days, rebuilt from the
+    raw rows, merged into the published fact, in one commit."""
+    _, raw, key, ts = _FACTS[name]
     first, last = BACKFILL_DAYS[name]
-    days = F.to_date(ts).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    whole = w.table(name, partitioned=True).filter(F.col(M.EVENT_MONTH).between(first[:7], last[:7]) & days)
-    return _written_fact(w, name, lambda path: M.write_merged(w.spark, whole.drop(M.EVENT_MONTH), path, key, ts))
+    days = F.to_date(_STAGED[name][1]).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    whole = _of_staged(w, name, _staged(name, w.table(raw, partitioned=True)).filter(days))
+    return _written_fact(w, name, lambda path: M.write_merged(w.spark, whole, path, key, ts))
 
 
 for _f, (_s, _r, _k, _ts) in _FACTS.items():

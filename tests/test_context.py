@@ -62,7 +62,7 @@ def test_a_broken_build_leaves_whole_tables_only(spark, fresh, monkeypatch):
     assert tables(spark, fresh) == {"raw_languages", "stg_languages"}
 
 
-@pytest.mark.parametrize("name", ["inc_backfill_reviews"])
+@pytest.mark.parametrize("name", ["inc_backfill_reviews", "inc_written_backfill_reviews"])
 def test_backfill_builds_no_whole_fact(spark, fresh, name):
     """The days are rebuilt from the raw rows, so neither the whole history's staged reviews nor their fact is written."""
     assert E.queries()[name](spark, SF).count() > 0
