@@ -210,9 +210,9 @@ def merge_newer(w, name: str) -> DataFrame:
     """The first load's fact, merged with the facts of newer raw rows."""
     raw = w.table(_FACTS[name][1], partitioned=True)
     state, mark = _mark(w, name)
-    src = _fact(w, name, raw, mark)
-    return M.merge_into(_fact(w, name, _first_batch(w, name)), src if state == "mark" else src.limit(0),
-                        _FACTS[name][2])
+    src = _staged(name, raw, mark)
+    return _of_staged(w, name, M.merge_into(_staged(name, _first_batch(w, name)),
+                                            src if state == "mark" else src.limit(0), _STAGED[name][0]))
 
 
 def backfill_days(w, name: str) -> DataFrame:

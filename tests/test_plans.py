@@ -90,7 +90,7 @@ def test_joins_of_facts_carry_narrow_rows(spark):
     assert cut > repo
 
 
-@pytest.mark.parametrize("name", ["inc_backfill_reviews"])
+@pytest.mark.parametrize("name", ["inc_merge_reviews", "inc_backfill_reviews"])
 def test_source_of_a_merge_is_shuffled_once(spark, name):
     """Its rows and its keys come from one shuffle, and the merged rows are looked up once."""
     df = E.queries()[name](spark, SF)
